@@ -1,4 +1,10 @@
-"""Regular-expression helpers shared by scoring and search."""
+"""Regular-expression helpers shared by scoring and search.
+
+Patterns run on lower-cased text and ignore case.  Most of them are plain words
+with gaps; for those a case-sensitive regex means the same on lower-cased text
+and is several times faster, and the words themselves can be looked for with a
+byte search before any regex runs.
+"""
 
 from __future__ import annotations
 
@@ -9,31 +15,50 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Case-insensitive, `.` stops at \n only, Unicode case folding and character classes.
-FLAGS = "(?iduU)"
+# `.` stops at \n only, Unicode character classes; case folding where needed.
+_FLAGS = "(?dU)"
+_FOLDING_FLAGS = "(?iduU)"
 
 # The white space classes of Java leave out the four separators 0x1C-0x1F.
-_SPACE_CLASS = re.compile(r"(?<!\\)((?:\\\\)*)\\s")
+_SPACE = re.compile(r"(?<!\\)((?:\\\\)*)\\s")
+_SPACE_CLASS = r"\1[\\s\\x1c-\\x1f]"
+
+_GAP = re.compile(r"\\s\+|\\b|\.\*|\(\?:(?:[A-Za-z0-9áéíóúüñ'/| -]|\\s\+)*\)(?![?*+{])")
+_WORDS = re.compile(r"[A-Za-z0-9áéíóúüñ'/ -]*")
+_LETTER = re.compile(r"\\.|[A-Za-záéíóúüñ]")
+
+# Lower-case letters that case folding equates with an ASCII letter.
+FOLDED_TWINS = {"s": "ſ", "i": "ı"}
 
-_GAP = re.compile(r"\\s\+|\\b|\.\*|\(\?:(?:[^()\\]|\\s\+)*\)(?![?*+{])")
-_PLAIN = re.compile(r"[A-Za-z0-9áéíóúüñ'/ -]*")
+
+def is_plain(pattern: str) -> bool:
+    """True for words joined by `\\s+`, `\\b`, `.*` or a plain group, and nothing else."""
+    return all(_WORDS.fullmatch(piece) for piece in _GAP.split(pattern))
 
 
 def portable(pattern: str) -> str:
-    """`pattern` as a Spark regex with the meaning it has on Unicode text."""
-    return FLAGS + _SPACE_CLASS.sub(r"\1[\\s\\x1c-\\x1f]", pattern)
+    """`pattern` as a Spark regex that ignores case on lower-cased Unicode text."""
+    if not is_plain(pattern):
+        return _FOLDING_FLAGS + _SPACE.sub(_SPACE_CLASS, pattern)
+
+    def fold(token: re.Match) -> str:
+        letter = token.group().lower()
+        if letter in FOLDED_TWINS:
+            return f"[{letter}{FOLDED_TWINS[letter]}]"
+        return letter
+
+    return _FLAGS + _SPACE.sub(_SPACE_CLASS, _LETTER.sub(fold, pattern))
 
 
 def required_words(pattern: str) -> list[str]:
     """Literal pieces every match of `pattern` must contain, longest first.
 
-    Known only for plain words joined by `\\s+`, `.*`, `\\b` or a plain group;
-    any other syntax gives an empty list, which means "cannot be ruled out".
+    Empty for patterns that are not plain, which means "cannot be ruled out".
     """
-    pieces = _GAP.split(pattern)
-    if not all(_PLAIN.fullmatch(p) for p in pieces):
+    if not is_plain(pattern):
         return []
-    return sorted({p.lower() for p in pieces if p}, key=lambda p: (-len(p), p))
+    pieces = {piece.lower() for piece in _GAP.split(pattern) if piece}
+    return sorted(pieces, key=lambda p: (-len(p), p))
 
 
 def any_of(conditions: list[Column]) -> Column:
@@ -49,23 +74,18 @@ def contains_any(text: Column, words: tuple[str, ...] | list[str]) -> Column:
 
 
 def folds_unusually(text: Column) -> Column:
-    """True where case folding equates a non-ASCII letter with an ASCII one.
-
-    After `lower()` only the long s and the dotless i remain; a literal
-    pre-check would miss them, so such rows always go to the regex.
-    """
-    return text.contains("ſ") | text.contains("ı")
-
-
-def may_match(text: Column, unusual: Column, pattern: str) -> Column:
-    """Cheap byte-search gate: False only when `pattern` surely has no match."""
-    words = required_words(pattern)
-    if not words:
-        return F.lit(True)
-    return unusual | all_of([text.contains(w) for w in words])
+    """True where a byte search could miss a word because of a folded twin letter."""
+    return contains_any(text, list(FOLDED_TWINS.values()))
 
 
 def phrase_pattern(phrase: str) -> str:
     """Whole-word, white-space-flexible pattern of a search phrase."""
-    words = [re.escape(w) for w in phrase.split()]
-    return r"(?<!\w)" + r"\s+".join(words) + r"(?!\w)"
+    words = phrase.split()
+    if all(re.fullmatch(r"\w+([-'/]\w+)*", w) for w in words):
+        return r"\b" + r"\s+".join(words) + r"\b"
+    return r"(?<!\w)" + r"\s+".join(re.escape(w) for w in words) + r"(?!\w)"
+
+
+def sql_text(value: str) -> str:
+    """A string literal of Spark SQL."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -10,7 +10,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsmill.functions.patterns import any_of, contains_any
 
 
 class UrlRules(NamedTuple):
@@ -128,18 +127,21 @@ def with_scheme(href: Column) -> Column:
     )
 
 
+def quoted(word: str) -> str:
+    """A regex for exactly `word`."""
+    return r"\Q" + word + r"\E"
+
+
 def is_article(url: Column, rules: UrlRules = STRICT_RULES) -> Column:
     """True where the URL is an article page under `rules`."""
     u = F.lower(url)
-    ending = any_of([u.endswith(e) | u.contains(e + "$") for e in rules.nav_endings])
-    nav = contains_any(u, rules.nav_parts) | ending
-    in_scope = ~contains_any(u, rules.external) & contains_any(u, rules.domains) & ~nav
+    off_limits = [quoted(w) for w in rules.external + rules.nav_parts]
+    off_limits += [quoted(w) + r"(?:\$|\z)" for w in rules.nav_endings]
+    in_scope = ~u.rlike("|".join(off_limits)) & u.rlike("|".join(map(quoted, rules.domains)))
     has_marker = u.contains(rules.marker_site) & u.contains(rules.marker) & u.contains(rules.suffix)
-    single = u.contains("/" + rules.marker) & (
-        F.regexp_count(u, F.lit(r"\Q" + rules.marker + r"\E")) == 1
-    )
+    single = u.contains("/" + rules.marker) & (F.regexp_count(u, F.lit(quoted(rules.marker))) == 1)
     dated = (
-        contains_any(u, rules.dated_names)
+        u.rlike("|".join(map(quoted, rules.dated_names)))
         & u.rlike("(?U)" + rules.dated_pattern)
         & (F.length(url) > rules.longer_than)
     )

@@ -18,8 +18,7 @@ def page_links(pages: DataFrame, keep: list[str], base: Column | None = None) ->
     if base is not None:
         carried.append(base.alias("_base"))
     links = (
-        pages.select(*carried, hrefs(F.col("html")).alias("_hrefs"))
-        .select("*", F.posexplode("_hrefs").alias("pos", "href")).drop("_hrefs")
+        pages.select(*carried, F.posexplode(hrefs(F.col("html"))).alias("pos", "href"))
         .withColumn("href", decode_entities(F.col("href")))
     )
     if base is None:

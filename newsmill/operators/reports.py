@@ -91,60 +91,60 @@ def one_decimal(value: Column) -> Column:
     return F.call_function("format_number", value, F.lit("0.0"))
 
 
-def _lines(df: DataFrame, section: int, order: Column, line: Column) -> DataFrame:
-    return df.select(F.lit(section).alias("section"), order.alias("line_ord"), line.alias("line"))
-
-
-def _fixed(df: DataFrame, section: int, lines: list[str] | tuple[str, ...]) -> DataFrame:
-    """Constant lines for every row of the one-row frame `df`."""
-    rows = F.posexplode(F.array(*[F.lit(x) for x in lines])).alias("line_ord", "line")
-    return df.select(F.lit(section).alias("section"), rows).withColumn(
-        "line_ord", F.col("line_ord").cast("bigint"))
+def _line_array(section: int, *lines: Column | str) -> Column:
+    """Lines of one section as (section, line) structs."""
+    return F.array(*[
+        F.struct(F.lit(section).alias("section"),
+                 (F.lit(x) if isinstance(x, str) else x).alias("line")) for x in lines
+    ])
 
 
 def report_lines(articles: DataFrame) -> DataFrame:
     """The text report as (section, line_ord, line) in reading order.
 
-    Built from small aggregates only; each section numbers its own lines, so no
-    line list is gathered in one row.
+    All counts and averages come from one aggregation over grouping sets, the
+    top list from a second, column-pruned read.  Only the few report rows are
+    ranked, within their section, and turned into lines.
     """
-    total = total_articles(articles)
-    filled, empty = total.filter("articles > 0"), total.filter("articles = 0")
-
-    def ranked(df: DataFrame, *order: Column) -> DataFrame:
-        return df.withColumn("_ord", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-
-    groups = ranked(by_relevance(articles), F.desc("avg_score"), F.col("category"))
-    sources = ranked(by_source(articles), F.desc("articles"), F.col("source"))
-    languages = ranked(by_language(articles), F.col("language"))
-    best = ranked(top_articles(articles), F.desc("heat_score"), F.col("url_hash"))
-    average = "articles (avg score: %s)"
-    parts = [
-        _fixed(total, 0, ["", RULE, HEADING, RULE, ""]),
-        _lines(total, 1, F.lit(0).cast("bigint"),
-               F.format_string("Total Articles in Database: %d", "articles")),
-        _fixed(empty, 2, EMPTY_ADVICE),
-        _fixed(filled, 3, ["", "By Relevance Category:"]),
-        _lines(groups, 4, F.col("_ord"),
-               F.format_string("  %-25s %4d " + average, "category", "articles",
-                               one_decimal(F.col("avg_score")))),
-        _fixed(filled, 5, ["", "By Source:"]),
-        _lines(sources, 6, F.col("_ord"),
-               F.format_string("  %-30s %4d " + average, "source", "articles",
-                               one_decimal(F.col("avg_score")))),
-        _fixed(filled, 7, ["", "By Language:"]),
-        _lines(languages, 8, F.col("_ord"),
-               F.format_string("  %-30s %4d articles", "language_name", "articles")),
-        _fixed(filled, 9, ["", "Top 10 Most Relevant Articles:"]),
-        _lines(best, 10, F.col("_ord") * 3, F.lit("")),
-        _lines(best, 10, F.col("_ord") * 3 + 1, F.format_string(
-            "  %d. [%s] %s", "_ord", one_decimal(F.col("heat_score")),
-            F.substring(F.coalesce("title", F.lit("")), 1, TITLE_WIDTH))),
-        _lines(best, 10, F.col("_ord") * 3 + 2,
-               F.format_string("     Source: %s | Category: %s", "source", "category")),
-        _fixed(total, 11, ["", RULE]),
+    groups = (
+        articles.select("category", "source", "language", "heat_score")
+        .groupingSets([["category"], ["source"], ["language"], []], "category", "source", "language")
+        .agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("n"), F.avg("heat_score").alias("a"))
+    )
+    # Bits of the grouping id: category, source, language; a set bit means "not grouped by".
+    by_label, by_name, by_code, all_rows = 0b011, 0b101, 0b110, 0b111
+    kind = F.col("_set")
+    order = [
+        F.when(kind == by_label, -F.col("a")).when(kind == by_name, -F.col("n").cast("double")),
+        F.coalesce("category", "source", "language"),
     ]
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report.orderBy("section", "line_ord")
+    rank = F.row_number().over(Window.partitionBy("_set").orderBy(*order))
+    average = F.concat(F.lit("articles (avg score: "), one_decimal(F.col("a")), F.lit(")"))
+    totals = F.concat(
+        _line_array(0, "", RULE, HEADING, RULE, ""),
+        _line_array(1, F.format_string("Total Articles in Database: %d", "n")),
+        F.when(F.col("n") == 0, _line_array(2, *EMPTY_ADVICE)).otherwise(F.concat(
+            _line_array(3, "", "By Relevance Category:"), _line_array(5, "", "By Source:"),
+            _line_array(7, "", "By Language:"), _line_array(9, "", "Top 10 Most Relevant Articles:"))),
+        _line_array(11, "", RULE),
+    )
+    grouped = groups.withColumn("_rank", rank).select("_rank", F.posexplode(
+        F.when(kind == all_rows, totals)
+        .when(kind == by_label, _line_array(4, F.format_string("  %-25s %4d %s", "category", "n", average)))
+        .when(kind == by_name, _line_array(6, F.format_string("  %-30s %4d %s", "source", "n", average)))
+        .when(kind == by_code, _line_array(8, F.format_string(
+            "  %-30s %4d articles", language_name(F.col("language")), "n")))
+    ).alias("_pos", "_line"))
+    top_rank = F.row_number().over(Window.orderBy(F.desc("heat_score"), "url_hash"))
+    best = top_articles(articles).withColumn("_rank", top_rank).select("_rank", F.posexplode(_line_array(
+        10, "",
+        F.format_string("  %d. [%s] %s", "_rank", one_decimal(F.col("heat_score")),
+                        F.substring(F.coalesce("title", F.lit("")), 1, TITLE_WIDTH)),
+        F.format_string("     Source: %s | Category: %s", "source", "category"),
+    )).alias("_pos", "_line"))
+    place = F.row_number().over(Window.partitionBy("_line.section").orderBy("_rank", "_pos"))
+    return (
+        grouped.unionByName(best)
+        .select("_line.section", place.cast("bigint").alias("line_ord"), "_line.line")
+        .orderBy("section", "line_ord")
+    )

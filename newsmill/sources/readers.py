@@ -37,6 +37,16 @@ def parse_capture_index(answers: DataFrame, body: str = "value", keep: tuple[str
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores if the input has fewer splits than the session has cores.
+
+    A few large row groups would otherwise keep most cores idle during CPU-bound
+    work.  Inputs with enough splits, as any large table has, are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Stored pages (page_id, url, html)."""
-    return spark.read.parquet(path)
+    return spread(spark.read.parquet(path))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from newsmill.functions.lexicon import ENGLISH, SPANISH, Category, Lexicon, SearchTerm
 from newsmill.functions.urls import UrlRules, base_of, host_of
+from newsmill.sources.readers import spread
 
 # Sentences that real lexicon words occur in, by doc_id % 4 (English) or for any other language.
 ENGLISH_SNIPPETS = (
@@ -28,7 +29,7 @@ WORD_LEXICON = Lexicon(
         Category("pair", 2, 5, (r"heat\s+(?:the|and|of)\b", r"\bfrom\s+the\b")),
         Category("span", 3, 3, (r"that.*heat",)),
         Category("romance", 4, 2, (
-            r"\bpor\b", r"\bpor\s+(?:la|los|las|que)\b", r"\bque\s+(?:los|las|del)\b")),
+            r"por\s+", r"por\s+(?:la|los|las|que)\s", r"que\s+(?:los|las|del)\s+")),
     ),
     exclusions=(r"\bweather\b",),
 )
@@ -62,6 +63,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table with long texts, on all cores even if it is a single row group."""
+    return spread(table(spark, folder, name))
+
+
 # --- articles from documents -------------------------------------------------
 
 def snippet() -> Column:
@@ -74,7 +80,7 @@ def snippet() -> Column:
 
 def articles(spark: SparkSession, folder: str) -> DataFrame:
     """documents as article records: first line as title, snippet appended to the text."""
-    return table(spark, folder, "documents").select(
+    return texts(spark, folder, "documents").select(
         "doc_id", F.col("lang").alias("language"), "source",
         F.concat(F.lit("https://news.example.org/doc/"), F.col("doc_id")).alias("url"),
         F.md5(F.concat(F.lit("https://news.example.org/doc/"), F.col("doc_id")).cast("binary"))
@@ -159,7 +165,7 @@ scored AS (
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
     """pages with host as source, site base and listing position."""
-    return table(spark, folder, "pages").withColumns({
+    return texts(spark, folder, "pages").withColumns({
         "source": host_of(F.col("url")), "base": base_of(F.col("url")),
         "section_ord": F.col("page_id").cast("int"),
     })

@@ -10,7 +10,7 @@ from newsmill.functions.lexicon import ENGLISH, SPANISH, by_priority, reweighted
 from newsmill.operators import counters, matching, reports, storage
 from workload.inputs import (
     ARTICLES_SQL, HITS_SQL, RELEVANCE_SQL, SCORED_SQL, TEXTS_SQL, TWO_LANGUAGES, WORD_LEXICON,
-    articles, lexicon_sql, sql, table,
+    articles, lexicon_sql, sql, table, texts,
 )
 
 QUERIES: dict = {}
@@ -129,7 +129,7 @@ _RAW_TEXTS = """texts AS (SELECT CAST(doc_id AS VARCHAR) AS url_hash, '' AS lex,
     lexicon_sql({"": WORD_LEXICON}), _RAW_TEXTS, HITS_SQL,
     select=f"SELECT url_hash AS doc, heat_score, {RELEVANCE_SQL} AS relevance FROM scores"))
 def word_lexicon_scores(spark, folder):
-    docs = table(spark, folder, "documents")
+    docs = texts(spark, folder, "documents")
     out = scoring.score_text(docs, F.col("text"), otherwise=WORD_LEXICON)
     return out.select(F.col("doc_id").cast("string").alias("doc"), "heat_score", "relevance")
 
@@ -138,7 +138,7 @@ def word_lexicon_scores(spark, folder):
     lexicon_sql({"": WORD_LEXICON}), _RAW_TEXTS, HITS_SQL,
     select="SELECT url_hash AS doc, keyword, category AS keyword_type, CAST(1 AS INTEGER) AS match_count, weight FROM hits"))
 def word_lexicon_matches(spark, folder):
-    docs = table(spark, folder, "documents").withColumn("doc", F.col("doc_id").cast("string"))
+    docs = texts(spark, folder, "documents").withColumn("doc", F.col("doc_id").cast("string"))
     out = scoring.score_text(docs, F.col("text"), otherwise=WORD_LEXICON)
     return matching.match_rows(out, "doc").drop("pattern_ord", "occurrence")
 
@@ -154,13 +154,11 @@ SELECT url_hash, raw_score,
        CAST(EXISTS (SELECT 1 FROM exclusions e WHERE regexp_matches(t, e.pattern, 'i')) AS INTEGER) AS excluded
 FROM texts JOIN raw USING (url_hash)"""))
 def exclusion_gate(spark, folder):
-    text = F.lower(scoring.full_text(F.col("title"), F.col("text")))
-    rows = articles(spark, folder).withColumn("t", text)
-    unusual = scoring.folds_unusually(F.col("t"))
-    rows = rows.withColumn("excluded", scoring.is_excluded(F.col("t"), unusual, ENGLISH).cast("int"))
-    open_lexicon = ENGLISH._replace(exclusions=())
-    out = scoring.score_text(rows, F.col("t"), otherwise=open_lexicon)
-    return out.select("url_hash", F.col("heat_score").alias("raw_score"), "excluded")
+    text = scoring.full_text(F.col("title"), F.col("text"))
+    rows = scoring.mark_excluded(articles(spark, folder), text, ENGLISH)
+    out = scoring.score_text(rows, text, otherwise=ENGLISH._replace(exclusions=()))
+    return out.select(
+        "url_hash", F.col("heat_score").alias("raw_score"), F.col("excluded").cast("int"))
 
 
 @query("threshold_variants", sql(SCORED_SQL, select="""
@@ -235,21 +233,21 @@ l AS (SELECT language, count(*) AS n FROM kept GROUP BY language),
 best AS (SELECT *, row_number() OVER (ORDER BY heat_score DESC, url_hash) AS k FROM kept
          ORDER BY heat_score DESC, url_hash LIMIT 10),
 fixed(section, line_ord, line) AS (VALUES
-  (0, 0, ''), (0, 1, '""" + _RULE + """'), (0, 2, 'SCRAPING SUMMARY REPORT'), (0, 3, '""" + _RULE + """'), (0, 4, ''),
-  (3, 0, ''), (3, 1, 'By Relevance Category:'), (5, 0, ''), (5, 1, 'By Source:'), (7, 0, ''), (7, 1, 'By Language:'),
-  (9, 0, ''), (9, 1, 'Top 10 Most Relevant Articles:'), (11, 0, ''), (11, 1, '""" + _RULE + """'))""",
+  (0, 1, ''), (0, 2, '""" + _RULE + """'), (0, 3, 'SCRAPING SUMMARY REPORT'), (0, 4, '""" + _RULE + """'), (0, 5, ''),
+  (3, 1, ''), (3, 2, 'By Relevance Category:'), (5, 1, ''), (5, 2, 'By Source:'), (7, 1, ''), (7, 2, 'By Language:'),
+  (9, 1, ''), (9, 2, 'Top 10 Most Relevant Articles:'), (11, 1, ''), (11, 2, '""" + _RULE + """'))""",
     select="""
 SELECT section, CAST(line_ord AS BIGINT) AS line_ord, line FROM fixed
-UNION ALL SELECT 1, 0, 'Total Articles in Database: ' || count(*) FROM kept
+UNION ALL SELECT 1, 1, 'Total Articles in Database: ' || count(*) FROM kept
 UNION ALL SELECT 4, row_number() OVER (ORDER BY a DESC, category),
   format('  {:<25} {:>4} articles (avg score: {:.1f})', category, n, a) FROM r
 UNION ALL SELECT 6, row_number() OVER (ORDER BY n DESC, source),
   format('  {:<30} {:>4} articles (avg score: {:.1f})', source, n, a) FROM s
 UNION ALL SELECT 8, row_number() OVER (ORDER BY language), format('  {:<30} {:>4} articles',
   CASE WHEN language = 'en' THEN 'English' ELSE 'Spanish' END, n) FROM l
-UNION ALL SELECT 10, k * 3, '' FROM best
-UNION ALL SELECT 10, k * 3 + 1, format('  {}. [{:.1f}] ', k, heat_score) || substr(title, 1, 70) FROM best
-UNION ALL SELECT 10, k * 3 + 2, '     Source: ' || source || ' | Category: ' || category FROM best"""))
+UNION ALL SELECT 10, k * 3 - 2, '' FROM best
+UNION ALL SELECT 10, k * 3 - 1, format('  {}. [{:.1f}] ', k, heat_score) || substr(title, 1, 70) FROM best
+UNION ALL SELECT 10, k * 3, '     Source: ' || source || ' | Category: ' || category FROM best"""))
 def report_text(spark, folder):
     return reports.report_lines(stored(spark, folder).filter("heat_score > 0"))
 
