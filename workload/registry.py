@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from workload import scoring
+from workload import archive, scoring, web
 
-GROUPS = (scoring,)
+GROUPS = (scoring, web, archive)
 
 
 def queries() -> dict:
