@@ -65,10 +65,6 @@ def any_of(conditions: list[Column]) -> Column:
     return functools.reduce(operator.or_, conditions) if conditions else F.lit(False)
 
 
-def all_of(conditions: list[Column]) -> Column:
-    return functools.reduce(operator.and_, conditions) if conditions else F.lit(True)
-
-
 def contains_any(text: Column, words: tuple[str, ...] | list[str]) -> Column:
     return any_of([text.contains(w) for w in words])
 

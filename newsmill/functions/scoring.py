@@ -13,6 +13,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsmill.functions.columns import computed_once
 from newsmill.functions.lexicon import ENGLISH, SPANISH, Lexicon
 from newsmill.functions.patterns import folds_unusually, portable, required_words, sql_text
 
@@ -135,15 +136,6 @@ def _with_text(df: DataFrame, text: Column, maybe: Column, gates: _Gates) -> Dat
     )
 
 
-def _computed_once(df: DataFrame, value: Column, name: str) -> DataFrame:
-    """Add an expensive column through a generator.
-
-    Filters on the result stay above it; on a plain column Spark would push them
-    down, copy the whole expression and evaluate it twice.
-    """
-    return df.select("*", F.explode(F.array(value)).alias(name))
-
-
 def _without_text(df: DataFrame, gates: _Gates) -> DataFrame:
     return df.drop("_text", "_unusual", "_maybe", *gates.columns.values())
 
@@ -153,7 +145,7 @@ def mark_excluded(df: DataFrame, text: Column, lexicon: Lexicon, name: str = "ex
     gates = _Gates([lexicon._replace(categories=())])
     maybe = F.expr(_maybe_sql(list(lexicon.exclusions)))
     excluded = F.expr(f"_maybe AND ({_excluded_sql(lexicon, gates)})")
-    return _without_text(_computed_once(_with_text(df, text, maybe, gates), excluded, name), gates)
+    return _without_text(computed_once(_with_text(df, text, maybe, gates), excluded, name), gates)
 
 
 def score_of(hits: Column) -> Column:
@@ -216,7 +208,7 @@ def score_text(
     hits = F.when(F.col("_maybe"), by_choice(lambda lexicon: _hits_sql(lexicon, gates)))
     hits = hits.otherwise(F.expr(f"CAST(array() AS {HITS_TYPE})"))
     return (
-        _without_text(_computed_once(_with_text(df, text, maybe, gates), hits, "hits"), gates)
+        _without_text(computed_once(_with_text(df, text, maybe, gates), hits, "hits"), gates)
         .withColumn("heat_score", score_of(F.col("hits")))
         .withColumn("relevance", relevance(F.col("heat_score")))
     )

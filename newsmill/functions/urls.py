@@ -89,6 +89,10 @@ def _unescape(value: pd.Series) -> pd.Series:
     return value.map(html_entities.unescape, na_action="ignore")
 
 
+# Keeps Spark from pushing filters below the function and calling it twice.
+_unescape_once = _unescape.asNondeterministic()
+
+
 def hrefs(html: Column) -> Column:
     """`href` values of all `<a>` tags in document order, as written."""
     visible = F.regexp_replace(html, _HIDDEN, "")
@@ -105,7 +109,7 @@ def hrefs(html: Column) -> Column:
 
 def decode_entities(value: Column) -> Column:
     """Character references decoded; only values with `&` leave the JVM."""
-    return F.coalesce(_unescape(F.when(value.contains("&"), value)), value)
+    return F.coalesce(_unescape_once(F.when(value.contains("&"), value)), value)
 
 
 def absolutize(href: Column, base: Column) -> Column:

@@ -36,10 +36,14 @@ def _parse(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["title", "text"])
 
 
+# Keeps Spark from pushing filters below the function and parsing every page twice.
+_parse_once = _parse.asNondeterministic()
+
+
 def parse_pages(pages: DataFrame) -> DataFrame:
     """Replace `html` by `title` and `text`; both are NULL where parsing failed."""
     return (
-        pages.withColumn("_parsed", _parse(F.col("html"))).drop("html")
+        pages.withColumn("_parsed", _parse_once(F.col("html"))).drop("html")
         .withColumns({"title": F.col("_parsed.title"), "text": F.col("_parsed.text")})
         .drop("_parsed")
     )

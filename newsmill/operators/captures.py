@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsmill.functions.urls import is_marked_article, replay_url, unwrap_replay, with_scheme
@@ -117,7 +117,10 @@ def new_urls_per_capture(captures: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def preview(urls: DataFrame, shown: int = 10) -> DataFrame:
-    """The first URLs in sorted order, then one row with the number of further ones."""
-    first = urls.orderBy("url").limit(shown).select("url", F.lit(None).cast("bigint").alias("remaining"))
-    more = urls.agg((F.count(F.lit(1)) - shown).alias("remaining")).filter("remaining > 0")
-    return first.unionByName(more.select(F.lit(None).cast("string").alias("url"), "remaining"))
+    """The first URLs in sorted order, then a line with the number of further ones: (pos, entry)."""
+    first = urls.select("url").orderBy("url").limit(shown)
+    numbered = first.select(
+        F.row_number().over(Window.orderBy("url")).alias("pos"), F.col("url").alias("entry"))
+    more = urls.agg((F.count(F.lit(1)) - shown).alias("_n")).filter("_n > 0").select(
+        F.lit(shown + 1).alias("pos"), F.format_string("... and %d more", "_n").alias("entry"))
+    return numbered.unionByName(more)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsmill.functions.columns import computed_once
 from newsmill.functions.urls import absolutize, decode_entities, hrefs
 
 
@@ -23,4 +24,4 @@ def page_links(pages: DataFrame, keep: list[str], base: Column | None = None) ->
     )
     if base is None:
         return links
-    return links.withColumn("full_url", absolutize(F.col("href"), F.col("_base"))).drop("_base")
+    return computed_once(links, absolutize(F.col("href"), F.col("_base")), "full_url").drop("_base")

@@ -13,10 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsmill.functions.columns import computed_once
 from newsmill.functions.lexicon import SearchTerm
-from newsmill.functions.patterns import (
-    all_of, any_of, folds_unusually, phrase_pattern, portable,
-)
+from newsmill.functions.patterns import folds_unusually, phrase_pattern, portable, sql_text
 from newsmill.operators.ordering import first_n
 
 # Fixed value: default cap of both searches.
@@ -24,11 +23,12 @@ MAX_RESULTS = 50
 # End of fixed values.
 
 
-def _has_term(text: Column, unusual: Column, phrases: Sequence[str]) -> Column:
-    """All phrases occur; the byte search for their words runs before the regexes."""
-    words = {w for p in phrases for w in p.lower().split()}
-    nearby = unusual | all_of([text.contains(w) for w in sorted(words)])
-    return nearby & all_of([text.rlike(portable(phrase_pattern(p))) for p in phrases])
+def _has_term(phrases: Sequence[str]) -> str:
+    """SQL test that all phrases occur; byte searches for their words run before the regexes."""
+    words = sorted({w for p in phrases for w in p.lower().split()}, key=lambda w: (-len(w), w))
+    nearby = " AND ".join(f"contains(_text, {sql_text(w)})" for w in words)
+    found = " AND ".join(f"rlike(_text, {sql_text(portable(phrase_pattern(p)))})" for p in phrases)
+    return f"((_unusual OR ({nearby})) AND {found})"
 
 
 def _prepared(articles: DataFrame, text: Column) -> DataFrame:
@@ -50,9 +50,9 @@ def search(
     Newest first, then by URL, cut after `max_results`; a URL that occurs
     several times counts once, with its latest date.
     """
-    hit = any_of([_has_term(F.col("_text"), F.col("_unusual"), term) for term in query])
+    hit = F.expr(" OR ".join(_has_term(term) for term in query))
     found = (
-        _prepared(articles, text).filter(hit)
+        computed_once(_prepared(articles, text), hit, "_hit").filter("_hit")
         .groupBy("url").agg(F.max("published_date").alias("published_date"))
     )
     if max_results is None:
@@ -63,11 +63,9 @@ def search(
 
 def first_terms(articles: DataFrame, text: Column, terms: Sequence[SearchTerm]) -> DataFrame:
     """Every matching URL with the order number of the first term that finds it."""
-    first = F.coalesce(*[
-        F.when(_has_term(F.col("_text"), F.col("_unusual"), term.phrases), F.lit(i))
-        for i, term in enumerate(terms)
-    ])
-    found = _prepared(articles, text).select("url", first.alias("term_ord"))
+    tests = ", ".join(f"CASE WHEN {_has_term(t.phrases)} THEN {i} END" for i, t in enumerate(terms))
+    first = F.expr(f"try_element_at(filter(array({tests}), i -> i IS NOT NULL), 1)")
+    found = computed_once(_prepared(articles, text), first, "term_ord")
     return (
         found.filter("term_ord IS NOT NULL")
         .groupBy("url").agg(F.min("term_ord").alias("term_ord"))

@@ -6,9 +6,12 @@ table and whole texts.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsmill.functions.columns import computed_once
 from newsmill.functions.lexicon import ENGLISH, SPANISH, Category, Lexicon, SearchTerm
 from newsmill.functions.urls import UrlRules, base_of, host_of
 from newsmill.sources.readers import spread
@@ -206,10 +209,9 @@ SHAPED_SQL = f"""shaped AS (
 def shaped_urls(spark: SparkSession, folder: str) -> DataFrame:
     """Page URLs rewritten to all the shapes the URL rules distinguish."""
     day = F.lpad((1 + F.col("page_id") % 28).cast("string"), 2, "0")
-    return (
-        table(spark, folder, "pages").select("page_id", "url").withColumn("dd", day)
-        .select("page_id", F.expr(_SHAPE_SQL).alias("url"))
-    )
+    listed = table(spark, folder, "pages").select("page_id", F.col("url").alias("page_url"), day.alias("dd"))
+    shape = F.expr(re.sub(r"\burl\b", "page_url", _SHAPE_SQL))
+    return computed_once(listed, shape, "url").select("page_id", "url")
 
 
 # --- captures from events ----------------------------------------------------
