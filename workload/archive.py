@@ -131,7 +131,7 @@ def new_urls_per_capture(spark, folder):
 
 
 @query("url_preview", sql(PAGES_SQL, LINKS_SQL, _FOUND, "d AS (SELECT DISTINCT url FROM found)", select="""
-SELECT row_number() OVER (ORDER BY url) AS pos, url AS entry FROM (SELECT url FROM d ORDER BY url LIMIT 10)
+SELECT CAST(row_number() OVER (ORDER BY url) AS INTEGER) AS pos, url AS entry FROM (SELECT url FROM d ORDER BY url LIMIT 10)
 UNION ALL SELECT 11, '... and ' || (n - 10) || ' more' FROM (SELECT count(*) AS n FROM d) WHERE n > 10"""))
 def url_preview(spark, folder):
     return cap.preview(_found(spark, folder).select("url").distinct())
