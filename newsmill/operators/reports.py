@@ -106,10 +106,16 @@ def report_lines(articles: DataFrame) -> DataFrame:
     top list from a second, column-pruned read.  Only the few report rows are
     ranked, within their section, and turned into lines.
     """
+    fields = ["category", "source", "language", "heat_score"]
+    # One empty row keeps the grand total alive when nothing is stored.
+    nothing = articles.sparkSession.range(1).select(
+        *[F.lit(None).cast("double" if f == "heat_score" else "string").alias(f) for f in fields],
+        F.lit(0).alias("_one"))
     groups = (
-        articles.select("category", "source", "language", "heat_score")
+        articles.select(*fields, F.lit(1).alias("_one")).unionByName(nothing)
         .groupingSets([["category"], ["source"], ["language"], []], "category", "source", "language")
-        .agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("n"), F.avg("heat_score").alias("a"))
+        .agg(F.grouping_id().alias("_set"), F.sum("_one").alias("n"), F.avg("heat_score").alias("a"))
+        .filter("n > 0 OR _set = 7")
     )
     # Bits of the grouping id: category, source, language; a set bit means "not grouped by".
     by_label, by_name, by_code, all_rows = 0b011, 0b101, 0b110, 0b111

@@ -76,7 +76,7 @@ def test_gate_overlap_and_language(spark):
 
 def test_unicode_cases(spark):
     texts = ["heat death", "heat\x1cdeath", "heat\x0bdeath", "heat ſtroke", "ınsolación", "coroner   heat",
-             "coroner \r heat", "coroner\nheat", "HEAT\tDEATH", "hyperthermıa", "İNSOLACIÓN", "preheat", "K heat wave"]
+             "coroner \r heat", "coroner\nheat", "HEAT\tDEATH", "hyperthermıa", "İNSOLACIÓN", "preheat", "\u212a heat wave", "coroner \u2028 \x85 heat"]
     for lexicon in (ENGLISH, SPANISH):
         assert collected(spark, texts, otherwise=lexicon) == [expected(t, lexicon) for t in texts]
 
@@ -85,7 +85,7 @@ def test_random_texts_match_the_standard_regex_module(spark):
     rng = random.Random(7)
     words = sorted({w for lex in (ENGLISH, SPANISH) for c in lex.categories for p in c.patterns
                     for w in required_words(p)}) + ["A/C", "air conditioning", "no", "heated", "debate", "xyz", "Heat"]
-    gaps = [" ", " ", " ", "\n", "  ", "\t", " ", "-", "\x1d", ". "]
+    gaps = [" ", " ", "\u00a0", "\n", "  ", "\t", " ", "-", "\x1d", ". "]
     texts = ["".join(w + rng.choice(gaps) for w in rng.choices(words, k=rng.randint(1, 40))) for _ in range(600)]
     for lexicon in (ENGLISH, SPANISH, ENGLISH._replace(exclusions=())):
         assert collected(spark, texts, otherwise=lexicon) == [expected(t, lexicon) for t in texts]
