@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from newsmill.functions.urls import STRICT_RULES, UrlRules, is_article, url_date
 from newsmill.operators.links import page_links
-from newsmill.operators.ordering import first_n, first_n_per_group
+from newsmill.operators.ordering import FILTER_VALUES, first_n, first_n_per_group
+from newsmill.session import cut_lineage
 
 # Default caps.
 LINKS_PER_CRAWL = 50
@@ -26,9 +27,11 @@ def section_pages(pages: DataFrame, sources: DataFrame) -> DataFrame:
 
     `sources` has one row per section (see :func:`newsmill.sources.config.sections`).
     """
-    return pages.join(
-        sources.select("source", "base", "section_ord", F.col("section_url").alias("url")), "url"
-    )
+    listed = sources.select("source", "base", "section_ord", F.col("section_url").alias("url"))
+    few = [row.url for row in listed.select("url").distinct().limit(FILTER_VALUES + 1).collect()]
+    if len(few) <= FILTER_VALUES:  # the filter reaches the scan and skips row groups
+        pages = pages.filter(F.col("url").isin(few))
+    return pages.join(listed, "url")
 
 
 def section_links(listing: DataFrame, rules: UrlRules = STRICT_RULES) -> DataFrame:
@@ -92,8 +95,10 @@ def in_date_range(found: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
 def archive_first(archive: DataFrame, sections: DataFrame) -> DataFrame:
     """Archive results; section results only for sources the archive knows nothing of.
 
-    The source names are reduced to one row each before the anti-join.
+    The archive rows are used twice and are fixed first, so their pages are read
+    once; the source names are reduced to one row each before the anti-join.
     """
+    archive = cut_lineage(archive)
     covered = archive.select("source").distinct()
     fallback = sections.join(covered, "source", "left_anti")
     return (

@@ -15,6 +15,8 @@ TRIMMED_BEFORE_SHUFFLE = 1_000
 SALTS = 64
 # Hash keys up to this number fit a broadcast (some 20 MB).
 BROADCAST_KEYS = 200_000
+# Values up to this number are worth a filter that the scan can use to skip row groups.
+FILTER_VALUES = 1_000
 BLOCK_ROWS = 100_000
 
 
@@ -50,10 +52,17 @@ def first_n_per_group(
     )
 
 
-def small_or_shuffled(keys: DataFrame) -> DataFrame:
-    """A key list marked for broadcast if counting shows it is small, else unmarked."""
-    few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
-    return F.broadcast(keys) if few else keys
+def narrowed_to(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """Semi-join of `df` with a fixed (written) key list, by the size of the list.
+
+    A few keys also become a filter on the first column, which reaches the scan
+    and skips row groups; up to some more are broadcast, so `df` is not shuffled;
+    a longer list joins like any table.
+    """
+    n = keys.limit(BROADCAST_KEYS + 1).count()
+    if n <= FILTER_VALUES:
+        df = df.filter(F.col(on[0]).isin([row[0] for row in keys.select(on[0]).collect()]))
+    return df.join(F.broadcast(keys) if n <= BROADCAST_KEYS else keys, on, "left_semi")
 
 
 def with_global_index(df: DataFrame, order: list[Column], name: str) -> DataFrame:

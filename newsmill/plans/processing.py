@@ -1,9 +1,10 @@
 """The common second half of every run: look up, extract, score, decide, store.
 
-The candidate list is narrow and fixed first.  Pages are cut down to the ones a
-new candidate asks for by a semi-join before anything is parsed: with a short
-candidate list the HTML is not shuffled at all.  Everything after that is
-partitioned by the URL hash once.
+The candidate list, narrow and already checked against the store, is fixed
+first.  Pages are cut down to the ones a new candidate asks for before anything
+is parsed: a short list even reaches the scan as a filter, a medium one is
+broadcast, so the HTML is shuffled only for a list too long for both.
+Everything after that is partitioned by the URL hash once.
 """
 
 from __future__ import annotations
@@ -19,8 +20,7 @@ from newsmill.functions.urls import url_hash
 from newsmill.operators.articles import ERROR_MESSAGE, ERROR_TYPE, is_extracted, parse_pages
 from newsmill.operators.counters import ERROR, SAVED, session_stats, with_outcome
 from newsmill.operators.matching import match_rows
-from newsmill.operators.ordering import first_per_key, small_or_shuffled
-from newsmill.operators.storage import unseen
+from newsmill.operators.ordering import first_per_key, narrowed_to
 from newsmill.session import cut_lineage
 from newsmill.sources.writers import BATCH, read_table, write_batch
 
@@ -39,7 +39,7 @@ def evaluate(
     pages: DataFrame,
     stored: DataFrame,
     extract: Callable[[DataFrame], DataFrame] | None = parse_pages,
-    page_keys: tuple[str, ...] = ("url_hash",),
+    page_keys: tuple[str, ...] = (),
     threshold: float | None = DEFAULT_THRESHOLD,
     language: str | None = None,
     by_language: dict[str, Lexicon] | None = None,
@@ -50,19 +50,20 @@ def evaluate(
     `candidates` have `url` and `seq` (run order); any further columns are kept.
     `pages` have `url` and what `extract` turns into `title` and `text` (pass
     None for tables that hold both); of several pages of one URL one is taken.
-    `page_keys` beyond the hash (the capture time) must be candidate columns too.
+    `page_keys` name further columns that candidate and page must agree in (the
+    capture time).
     With `captured` among the candidate columns, rows where it is false are
     reported as not archived.
     """
-    keyed = cut_lineage(candidates.withColumn("url_hash", url_hash(F.col("url"))))
+    keyed = candidates.withColumn("url_hash", url_hash(F.col("url")))
     seen = stored.select("url_hash").distinct().withColumn("already", F.lit(True))
-    marked = keyed.join(seen, "url_hash", "left").na.fill(False, ["already"])
+    marked = cut_lineage(keyed.join(seen, "url_hash", "left").na.fill(False, ["already"]))
 
-    keys = list(page_keys)
-    wanted = small_or_shuffled(unseen(keyed.select("url_hash", *keys[1:]), stored))
+    keys = ["url", *page_keys]
+    wanted = marked.filter("NOT already").select(*keys)
     content = (
-        pages.withColumn("url_hash", url_hash(F.col("url"))).drop("url")
-        .join(wanted, keys, "left_semi").drop(*keys[1:])
+        narrowed_to(pages, wanted, keys)
+        .withColumn("url_hash", url_hash(F.col("url"))).drop(*keys)
     )
     parsed = content if extract is None else extract(content)
     have = [c for c in ("title", "text", "authors", "published_date") if c in parsed.columns]

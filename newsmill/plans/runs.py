@@ -122,5 +122,5 @@ def archive_run(
     listed = candidates_of_list(urls, order).withColumn("source", F.lit(SINGLE_SOURCE))
     candidates = cap.first_capture(listed, captures, start, end).withColumn(
         "captured", F.col("ts").isNotNull())
-    return evaluate(candidates, captured_pages, stored, page_keys=("url_hash", "ts"),
+    return evaluate(candidates, captured_pages, stored, page_keys=("ts",),
                     threshold=threshold, **scoring)

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from newsmill.plans.processing import evaluate, store_outcomes, stored_before
 from newsmill.schemas import PAGES
+from newsmill.sources.readers import spread
 from newsmill.sources.writers import create_store
 
 
@@ -42,7 +43,7 @@ def store_stream(
     create_store(pages.sparkSession, root)
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        ready = batch if prepare is None else prepare(batch)
+        ready = spread(batch if prepare is None else prepare(batch))
         stored = stored_before(batch.sparkSession, root, batch_id)
         outcomes = evaluate(candidates(ready), ready, stored, **options)
         store_outcomes(outcomes, root, batch_id, run_time)

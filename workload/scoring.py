@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from newsmill.functions import scoring
 from newsmill.functions.lexicon import ENGLISH, SPANISH, by_priority, reweighted
 from newsmill.operators import counters, matching, reports, storage
+from newsmill.plans import processing
+from newsmill.session import fresh_folder
+from newsmill.sources import readers, writers
 from workload.inputs import (
     ARTICLES_SQL, HITS_SQL, RELEVANCE_SQL, SCORED_SQL, TEXTS_SQL, TWO_LANGUAGES, WORD_LEXICON,
     articles, lexicon_sql, sql, table, texts,
@@ -358,3 +361,54 @@ def session_stats(spark, folder):
     return counters.session_stats(
         outcomes(spark, folder), sources, F.lit("2024-10-01 00:00:00"),
         F.lit("2024-10-01 01:00:00"), failed)
+
+
+# --- sinks, read back -------------------------------------------------------------
+
+@query("stored_tables", sql(SCORED_SQL, _OUTCOME_SQL, select="""
+SELECT 'articles' AS table_name, source, count(*) AS n, CAST(sum(heat_score) AS BIGINT) AS total
+FROM outcomes WHERE outcome = 'saved' GROUP BY source
+UNION ALL SELECT 'keyword_matches', h.category, count(*), CAST(sum(h.weight) AS BIGINT)
+FROM hits h JOIN outcomes o ON o.url_hash = h.url_hash WHERE o.outcome = 'saved' GROUP BY h.category
+UNION ALL SELECT 'error_log', source, count(*), CAST(0 AS BIGINT) FROM outcomes WHERE outcome = 'errors' GROUP BY source
+UNION ALL SELECT 'scrape_sessions', source, count(*),
+  CAST(count(*) FILTER (outcome = 'saved') AS BIGINT) FROM outcomes GROUP BY source"""))
+def stored_tables(spark, folder):
+    """One batch written to all four tables of a new store and summed up from there."""
+    root = fresh_folder(spark, "store")
+    writers.create_store(spark, root)
+    at = F.lit("2024-10-01 00:00:00").cast("timestamp")
+    sources = table(spark, folder, "documents").select("source")
+    processing.store_outcomes(outcomes(spark, folder), root, 0, at, sources)
+
+    def summed(name, key, n, total):
+        return writers.read_table(spark, root, name).groupBy(F.col(key).alias("source")).agg(
+            n.cast("bigint").alias("n"), F.coalesce(total, F.lit(0)).cast("bigint").alias("total"),
+        ).withColumn("table_name", F.lit(name))
+
+    count = F.count(F.lit(1))
+    return (
+        summed("articles", "source", count, F.sum("heat_score"))
+        .unionByName(summed("keyword_matches", "keyword_type", count, F.sum("weight")))
+        .unionByName(summed("error_log", "source", count, F.lit(0)))
+        .unionByName(summed("scrape_sessions", "source", F.sum("articles_found"), F.sum("articles_scraped")))
+    )
+
+
+@query("url_list_file", sql(ARTICLES_SQL, select="SELECT DISTINCT url FROM articles"))
+def url_list_file(spark, folder):
+    """Distinct sorted URLs written as text and read as a URL list."""
+    path = fresh_folder(spark, "urls")
+    writers.write_url_list(articles(spark, folder), path)
+    return readers.read_url_list(spark, path).select("url")
+
+
+@query("export_file", sql(SCORED_SQL, select="""
+SELECT title AS "Title", source AS "Source", heat_score AS "Score", CAST(published_date AS VARCHAR) AS "Date"
+FROM scored WHERE heat_score > 0"""))
+def export_file(spark, folder):
+    """The CSV export, read back under its header."""
+    path = fresh_folder(spark, "export")
+    writers.write_export(stored(spark, folder), path)
+    columns = "Title string, Source string, Score double, Date string"
+    return spark.read.schema(columns).option("header", True).option("escape", '"').csv(path)
