@@ -19,26 +19,31 @@ FAILED = "FAILED"
 
 
 def with_outcome(
-    evaluated: DataFrame, threshold: float | None = DEFAULT_THRESHOLD, seq: str = "seq"
+    evaluated: DataFrame, threshold: float | None = DEFAULT_THRESHOLD, seq: str | None = None
 ) -> DataFrame:
     """Add `outcome` to evaluated candidates.
 
     Expects `already` (stored before the run), `extracted`, `heat_score`,
-    `url_hash`, optionally `captured`, and `seq`, the run order.  If a URL is a
-    candidate more than once, those after the first one that is kept are
+    `url_hash` and optionally `captured`.  If a URL can be a candidate more than
+    once, `seq` names the run order: those after the first one that is kept are
     "already scraped" like in a sequential run.
     """
     kept = ~F.col("already") & F.col("extracted") & keep(F.col("heat_score"), threshold)
     no_capture = ~F.col("captured") if "captured" in evaluated.columns else F.lit(False)
-    first_kept = F.min(F.when(kept, F.col(seq))).over(Window.partitionBy("url_hash"))
+    if seq is None:
+        first, later = kept, F.lit(False)
+    else:
+        evaluated = evaluated.withColumn(
+            "_first_kept", F.min(F.when(kept, F.col(seq))).over(Window.partitionBy("url_hash")))
+        first, later = F.col(seq) == F.col("_first_kept"), F.col(seq) > F.col("_first_kept")
     outcome = (
-        F.when(F.col("already") | (F.col(seq) > F.col("_first_kept")), ALREADY)
+        F.when(F.col("already") | later, ALREADY)
         .when(no_capture, NO_ARCHIVE)
         .when(~F.col("extracted"), ERROR)
-        .when(F.col(seq) == F.col("_first_kept"), SAVED)
+        .when(first, SAVED)
         .otherwise(LOW)
     )
-    return evaluated.withColumn("_first_kept", first_kept).withColumn("outcome", outcome).drop("_first_kept")
+    return evaluated.withColumn("outcome", outcome).drop("_first_kept")
 
 
 def _times(outcome: Column, copies: Column | None, *names: str) -> Column:

@@ -13,8 +13,9 @@ SMALL_LIMIT = 10_000
 # (spark.sql.optimizer.windowGroupLimitThreshold).
 TRIMMED_BEFORE_SHUFFLE = 1_000
 SALTS = 64
-# Hash keys up to this number fit a broadcast (some 20 MB).
-BROADCAST_KEYS = 200_000
+# Key lists up to this many bytes and rows are broadcast.
+BROADCAST_BYTES = 32 << 20
+BROADCAST_KEYS = 500_000
 # Values up to this number are worth a filter that the scan can use to skip row groups.
 FILTER_VALUES = 1_000
 BLOCK_ROWS = 100_000
@@ -53,16 +54,18 @@ def first_n_per_group(
 
 
 def narrowed_to(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """Semi-join of `df` with a fixed (written) key list, by the size of the list.
+    """Semi-join of `df` with a fixed (written) list of text keys, by the size of the list.
 
     A few keys also become a filter on the first column, which reaches the scan
     and skips row groups; up to some more are broadcast, so `df` is not shuffled;
     a longer list joins like any table.
     """
-    n = keys.limit(BROADCAST_KEYS + 1).count()
-    if n <= FILTER_VALUES:
+    size = F.coalesce(F.sum(sum(F.octet_length(F.col(c)) for c in on)), F.lit(0))
+    n, in_bytes = keys.agg(F.count(F.lit(1)), size).first()
+    small = n <= BROADCAST_KEYS and in_bytes <= BROADCAST_BYTES
+    if n <= FILTER_VALUES and small:
         df = df.filter(F.col(on[0]).isin([row[0] for row in keys.select(on[0]).collect()]))
-    return df.join(F.broadcast(keys) if n <= BROADCAST_KEYS else keys, on, "left_semi")
+    return df.join(F.broadcast(keys) if small else keys, on, "left_semi")
 
 
 def with_global_index(df: DataFrame, order: list[Column], name: str) -> DataFrame:

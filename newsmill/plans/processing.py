@@ -25,13 +25,12 @@ from newsmill.session import cut_lineage
 from newsmill.sources.writers import BATCH, read_table, write_batch
 
 
-def candidates_of_list(urls: DataFrame, order: list[str]) -> DataFrame:
-    """A URL list as candidates: distinct URLs with `copies` and the place `seq`.
+def candidates_of_list(urls: DataFrame) -> DataFrame:
+    """A URL list as candidates: distinct URLs with the number of `copies`.
 
     A URL repeated in the list is fetched and scored once, however often it occurs.
     """
-    return urls.groupBy("url").agg(
-        F.count(F.lit(1)).alias("copies"), F.min(F.struct(*order)).alias("seq"))
+    return urls.groupBy("url").agg(F.count(F.lit(1)).alias("copies"))
 
 
 def evaluate(
@@ -40,6 +39,7 @@ def evaluate(
     stored: DataFrame,
     extract: Callable[[DataFrame], DataFrame] | None = parse_pages,
     page_keys: tuple[str, ...] = (),
+    unique_pages: bool = False,
     threshold: float | None = DEFAULT_THRESHOLD,
     language: str | None = None,
     by_language: dict[str, Lexicon] | None = None,
@@ -47,9 +47,11 @@ def evaluate(
 ) -> DataFrame:
     """Every candidate with its article, hits, score, relevance and outcome.
 
-    `candidates` have `url` and `seq` (run order); any further columns are kept.
-    `pages` have `url` and what `extract` turns into `title` and `text` (pass
-    None for tables that hold both); of several pages of one URL one is taken.
+    `candidates` have `url`, and `seq` (run order) if a URL can occur more than
+    once; any further columns are kept.  `pages` have `url` and what `extract`
+    turns into `title` and `text` (pass None for tables that hold both); of
+    several pages of one URL one is taken, unless `unique_pages` promises that
+    there is only one.
     `page_keys` name further columns that candidate and page must agree in (the
     capture time).
     With `captured` among the candidate columns, rows where it is false are
@@ -67,8 +69,10 @@ def evaluate(
     )
     parsed = content if extract is None else extract(content)
     have = [c for c in ("title", "text", "authors", "published_date") if c in parsed.columns]
-    one_each = first_per_key(parsed.select("url_hash", *have), ["url_hash"], [F.col("title"), F.col("text")])
-    articles = marked.join(one_each, "url_hash", "left")
+    found = parsed.select("url_hash", *have)
+    if not unique_pages:
+        found = first_per_key(found, ["url_hash"], [F.xxhash64("title", "text")])
+    articles = marked.join(found, "url_hash", "left")
     usable = F.col("text").isNotNull() if extract is None else is_extracted(F.col("title"), F.col("text"))
     articles = articles.withColumn("extracted", usable)
     body = F.when(F.col("extracted"), full_text(F.col("title"), F.col("text")))
@@ -76,7 +80,7 @@ def evaluate(
         articles, F.coalesce(body, F.lit("")),
         None if language is None else F.col(language), by_language, otherwise,
     )
-    return with_outcome(scored, threshold)
+    return with_outcome(scored, threshold, "seq" if "seq" in candidates.columns else None)
 
 
 def article_rows(outcomes: DataFrame, run_time: Column) -> DataFrame:

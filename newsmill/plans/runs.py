@@ -68,7 +68,7 @@ def search_run(
     found = find.search(find.published_between(articles, start, end), text, query, max_results)
     label = keywords or " OR ".join(" ".join(f'"{p}"' if " " in p else p for p in t) for t in query)
     candidates = found.select("url").withColumns({
-        "seq": F.lit(0), "source": F.lit(SINGLE_SOURCE), "search_keywords": F.lit(label)})
+        "source": F.lit(SINGLE_SOURCE), "search_keywords": F.lit(label)})
     return evaluate(candidates, articles, stored, extract=None, threshold=threshold, **scoring)
 
 
@@ -81,18 +81,18 @@ def priority_run(
     found = find.first_terms(find.published_between(articles, start, end), text, terms)
     chosen = find.priority_search(found, term_table(articles.sparkSession, terms), max_total)
     candidates = chosen.select(
-        "url", F.lit(0).alias("seq"), F.lit(SINGLE_SOURCE).alias("source"),
+        "url", F.lit(SINGLE_SOURCE).alias("source"),
         F.col("priority").alias("search_priority"), F.col("search_term").alias("search_keywords"))
     scoring.setdefault("otherwise", by_priority(ENGLISH))
     return evaluate(candidates, articles, stored, extract=None, threshold=threshold, **scoring)
 
 
 def url_list_run(
-    urls: DataFrame, order: list[str], pages: DataFrame, stored: DataFrame,
+    urls: DataFrame, pages: DataFrame, stored: DataFrame,
     threshold: float | None = DEFAULT_THRESHOLD, **scoring,
 ) -> DataFrame:
     """Scoring of a URL list; count with `copies` in :func:`~newsmill.operators.counters.run_counters`."""
-    candidates = candidates_of_list(urls, order).withColumn("source", F.lit(SINGLE_SOURCE))
+    candidates = candidates_of_list(urls).withColumn("source", F.lit(SINGLE_SOURCE))
     return evaluate(candidates, pages, stored, threshold=threshold, **scoring)
 
 
@@ -114,12 +114,12 @@ def capture_url_run(
 
 
 def archive_run(
-    urls: DataFrame, order: list[str], captures: DataFrame, captured_pages: DataFrame,
+    urls: DataFrame, captures: DataFrame, captured_pages: DataFrame,
     stored: DataFrame, start: str = cap.RANGE_START, end: str = cap.RANGE_END,
     threshold: float | None = DEFAULT_THRESHOLD, **scoring,
 ) -> DataFrame:
     """URL list against archived pages (url, ts, html): first capture in range, then scoring."""
-    listed = candidates_of_list(urls, order).withColumn("source", F.lit(SINGLE_SOURCE))
+    listed = candidates_of_list(urls).withColumn("source", F.lit(SINGLE_SOURCE))
     candidates = cap.first_capture(listed, captures, start, end).withColumn(
         "captured", F.col("ts").isNotNull())
     return evaluate(candidates, captured_pages, stored, page_keys=("ts",),

@@ -36,7 +36,7 @@ def store_stream(
 ) -> StreamingQuery:
     """Score and store all pages available, then stop.
 
-    `candidates` gives the candidate rows (url, seq, source, …) of a batch of
+    `candidates` gives the candidate rows (url, source, …) of a batch of
     pages, `prepare` may adapt the pages; `options` go to
     :func:`newsmill.plans.processing.evaluate`.
     """
@@ -54,11 +54,8 @@ def store_stream(
     )
 
 
-def pages_as_candidates(source: Callable[[Column], Column], order: str = "page_id"):
+def pages_as_candidates(source: Callable[[Column], Column]) -> Callable[[DataFrame], DataFrame]:
     """Every page of a batch is a candidate of the source its URL names."""
     def rows(batch: DataFrame) -> DataFrame:
-        return (
-            batch.withColumn("source", source(F.col("url")))
-            .groupBy("url", "source").agg(F.min(order).alias("seq"))
-        )
+        return batch.select("url", source(F.col("url")).alias("source")).distinct()
     return rows

@@ -45,7 +45,7 @@ def list_run(spark):
         ("a/known", page("T", HEAT)), ("a/gate", page("heated debate", HEAT)), ("a/other", page("T", HEAT)),
         ("a/hit", page("T", HEAT))])
     rows = spark.createDataFrame([(u[0], i) for i, u in enumerate(LISTED)], "url string, n int")
-    return runs.url_list_run(rows, ["n"], pages, hashes(spark, ["a/known"]))
+    return runs.url_list_run(rows, pages, hashes(spark, ["a/known"]))
 
 
 def test_url_list_run(spark):
@@ -73,7 +73,7 @@ def test_store_is_written_once_and_repeats_are_ignored(spark):
     assert [m.keyword for m in article.keywords_matched] == ["heat death", "heat wave"]
     # A later batch finds the article stored.
     pages = page_table(spark, [("a/hit", page("T", HEAT))])
-    again = runs.url_list_run(spark.createDataFrame([("a/hit", 0)], "url string, n int"), ["n"], pages,
+    again = runs.url_list_run(spark.createDataFrame([("a/hit", 0)], "url string, n int"), pages,
                               processing.stored_before(spark, root, 1))
     processing.store_outcomes(again, root, 1, at())
     assert writers.read_table(spark, root, "articles").count() == 1
@@ -179,7 +179,7 @@ def test_archive_runs(spark):
         assert [(r.capture_ord, r.new_urls, r.total_urls) for r in counted.orderBy("capture_ord").collect()] == [
             (0, 1, 1), (1, 1, 2), (2, 0, 2)]
     listed = found.withColumn("n", F.lit(0))
-    out = runs.archive_run(listed, ["n"], captures, pages, no_store(spark))
+    out = runs.archive_run(listed, captures, pages, no_store(spark))
     assert {(r.url[-6:], r.outcome, r.title) for r in out.collect()} == {
         ("1.html", "saved", "First"), ("2.html", "no_archive", None)}
 
