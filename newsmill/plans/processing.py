@@ -1,6 +1,6 @@
 """The common second half of every run: look up, extract, score, decide, store.
 
-The candidate list, narrow and already checked against the store, is fixed
+The candidate list, which is narrow, is fixed and checked against the store
 first.  Pages are cut down to the ones a new candidate asks for before anything
 is parsed: a short list even reaches the scan as a filter, a medium one is
 broadcast, so the HTML is shuffled only for a list too long for both.
@@ -57,9 +57,11 @@ def evaluate(
     With `captured` among the candidate columns, rows where it is false are
     reported as not archived.
     """
-    keyed = candidates.withColumn("url_hash", url_hash(F.col("url")))
-    seen = stored.select("url_hash").distinct().withColumn("already", F.lit(True))
-    marked = cut_lineage(keyed.join(seen, "url_hash", "left").na.fill(False, ["already"]))
+    keyed = cut_lineage(candidates.withColumn("url_hash", url_hash(F.col("url"))))
+    # The store is narrowed to the candidates, not shuffled, unless they are many.
+    seen = narrowed_to(stored.select("url_hash"), keyed.select("url_hash"), ["url_hash"]).distinct()
+    marked = cut_lineage(
+        keyed.join(seen.withColumn("already", F.lit(True)), "url_hash", "left").na.fill(False, ["already"]))
 
     keys = ["url", *page_keys]
     wanted = marked.filter("NOT already").select(*keys)

@@ -204,3 +204,11 @@ def test_stream_equals_batch(spark, tmp_path):
     assert stored.select("batch_id").distinct().count() > 1
     go()  # nothing new
     assert writers.read_table(spark, root, "articles").count() == len(expected)
+
+
+def test_nothing_to_do(spark):
+    rows = spark.createDataFrame([], "url string, n int")
+    out = runs.url_list_run(rows, page_table(spark, [("u", page("T", HEAT))]), hashes(spark, ["u"]))
+    assert out.count() == 0
+    row = counters.run_counters(out, "copies").first()
+    assert row.total == 0 and row.hit_rate == 0.0

@@ -9,7 +9,7 @@ from newsmill.functions import scoring
 from newsmill.functions.lexicon import ENGLISH, SPANISH, by_priority, reweighted
 from newsmill.operators import counters, matching, reports, storage
 from newsmill.plans import processing
-from newsmill.session import fresh_folder
+from newsmill.session import cut_lineage, fresh_folder
 from newsmill.sources import readers, writers
 from workload.inputs import (
     ARTICLES_SQL, HITS_SQL, RELEVANCE_SQL, SCORED_SQL, TEXTS_SQL, TWO_LANGUAGES, WORD_LEXICON,
@@ -252,7 +252,10 @@ UNION ALL SELECT 10, k * 3 - 2, '' FROM best
 UNION ALL SELECT 10, k * 3 - 1, format('  {}. [{:.1f}] ', k, heat_score) || substr(title, 1, 70) FROM best
 UNION ALL SELECT 10, k * 3, '     Source: ' || source || ' | Category: ' || category FROM best"""))
 def report_text(spark, folder):
-    return reports.report_lines(stored(spark, folder).filter("heat_score > 0"))
+    """The report reads its articles twice, so the scored ones are written once first."""
+    columns = ["category", "source", "language", "heat_score", "title", "url_hash"]
+    kept = cut_lineage(stored(spark, folder).filter("heat_score > 0").select(*columns))
+    return reports.report_lines(kept)
 
 
 # --- storage -----------------------------------------------------------------
