@@ -4,11 +4,12 @@ import pytest
 
 import __spark_entry__ as entry_points
 from compare import compare
+from workload import registry
 
 FOLDER = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_its_sql(spark, name):
     assert name in entry_points.oracle_sql()
     assert compare(spark, FOLDER, [name]) == []
@@ -18,7 +19,7 @@ def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_no_join_without_a_key(spark, name):
     if name == "incremental_stream":
         return
