@@ -46,8 +46,11 @@ class EliasFano:
     def write(folder: Path, name: str, values: np.ndarray, universe: int) -> None:
         n = len(values)
         width = max(0, (universe // max(1, n)).bit_length() - 1)
-        bits = (values[:, None] >> np.arange(width)) & 1
-        low = np.r_[np.packbits(bits.astype(np.uint8).ravel(), bitorder="little"), np.zeros(8, np.uint8)]
+        bits = np.empty((n, width), np.uint8)
+        for k in range(width):
+            bits[:, k] = (values >> k) & 1
+        low = np.r_[np.packbits(bits.ravel(), bitorder="little"), np.zeros(8, np.uint8)]
+        del bits
         unary = np.zeros(-(-(n + (universe >> width) + 2) // 64) * 64, np.uint8)
         unary[(values >> width) + np.arange(n)] = 1
         high = np.packbits(unary, bitorder="little").view(np.uint64)
@@ -190,8 +193,9 @@ def unpacked(data: list[bytes]) -> pa.Table:
     return pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in data]).combine_chunks()
 
 
-def deal(texts: list[str], rows: np.ndarray, ids: pa.Array, held: np.ndarray, corpus: Corpus) -> Iterator[tuple[int, bytes, bytes]]:
-    """For each bucket the pairs of some texts, with their training count, and which text has each how often."""
+def deal(texts: list[str], rows: np.ndarray, ids: pa.Array, held: np.ndarray, corpus: Corpus) -> Iterator[tuple[int, bytes, bytes, bytes, bytes]]:
+    """For each bucket the pairs of some texts (all words v, then all words u), their training counts, and which text has each
+    how often."""
     words, codes, doc = sequences(texts)
     n, many = len(texts), len(words)
     last = np.flatnonzero(np.r_[False, doc[1:] == doc[:-1]])
@@ -212,26 +216,25 @@ def deal(texts: list[str], rows: np.ndarray, ids: pa.Array, held: np.ndarray, co
         own = order[edges[b]:edges[b + 1]]
         at = spans_of(begin[own], size[own])
         docs, local = np.unique(of[at], return_inverse=True)
-        yield int(b), packed({
-            "last": words.take(pa.array(v[own])), "first": words.take(pa.array(u[own])), "training": pa.array(training[own]),
-            "size": pa.array(size[own])}), packed({"doc": pa.array(local), "times": pa.array(times[at])}), packed({
+        named, codes_ = np.unique(np.r_[v[own], u[own]], return_inverse=True)
+        yield int(b), packed({"word": pa.DictionaryArray.from_arrays(pa.array(codes_.astype(np.int32)), words.take(pa.array(named)))}), packed({
+            "training": pa.array(training[own].astype(np.int32)), "size": pa.array(size[own].astype(np.int32))}), packed({"doc": pa.array(local.astype(np.int32)), "times": pa.array(times[at].astype(np.int32))}), packed({
                 "row": pa.array(rows[docs]), "id": ids.take(pa.array(docs)), "held": pa.array(held[docs])})
 
 
-def score_bucket(table: pa.Table, corpus: Corpus) -> pa.RecordBatch:
+def score_bucket(table: pa.Table, corpus: Corpus) -> pa.Table:
     """Sums over the pairs of a bucket for each text."""
-    lists = {name: table.column(name).to_pylist() for name in ("pairs", "uses", "docs")}
-    pairs, uses, docs = (unpacked(lists[name]) for name in ("pairs", "uses", "docs"))
-    lengths = lambda name: np.array([pa.ipc.open_stream(x).read_all().num_rows for x in lists[name]])
-    shift = np.repeat(np.r_[0, np.cumsum(lengths("docs"))[:-1]], lengths("uses"))
+    data = {name: table.column(name).to_pylist() for name in ("pairs", "numbers", "uses", "docs")}
     column = lambda t, name: t.column(name).to_numpy()
-    n_pairs = pairs.num_rows
-    both = pa.chunked_array([*pairs.column("last").chunks, *pairs.column("first").chunks]).combine_chunks().dictionary_encode()
-    codes = both.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    many = len(both.dictionary)
-    v, u, training = codes[:n_pairs], codes[n_pairs:], column(pairs, "training")
+    names = pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in data.pop("pairs")]).unify_dictionaries().column("word")
+    words = names.chunk(0).dictionary.to_pylist()
+    codes = [c.indices.to_numpy() for c in names.chunks]
+    many, numbers = len(words), unpacked(data.pop("numbers"))
+    v, u = (np.concatenate([c[part * len(c) // 2:(part + 1) * len(c) // 2] for c in codes]).astype(np.int64) for part in (0, 1))
+    training, size = column(numbers, "training"), column(numbers, "size")
+    del names, codes, numbers
     counts = np.bincount(v, training, many)
-    for code, word in enumerate(both.dictionary.to_pylist()):
+    for code, word in enumerate(words):
         if word in corpus.frequent:
             counts[code] = corpus.frequent[word]
     share = STRENGTH * (counts + 0.5) / (corpus.tokens + 0.5 * (corpus.distinct + 1))
@@ -244,19 +247,22 @@ def score_bucket(table: pa.Table, corpus: Corpus) -> pa.RecordBatch:
         trie = Trie(Path(folder))
         value = trie.look_up(first, last) - np.log10(counts[last] + STRENGTH)
         del trie
-    of_pair = np.repeat(np.arange(n_pairs), column(pairs, "size"))
-    doc, times = column(uses, "doc") + shift, column(uses, "times")
-    word = v[of_pair]
-    rows, place = np.unique(column(docs, "row"), return_inverse=True)
-    doc = place[doc]
-    some = np.zeros(len(rows), np.int64)
-    some[place] = np.arange(len(place))
-    total = lambda x: np.bincount(doc, x * times, len(rows))
-    return pa.RecordBatch.from_arrays([
-        pa.array(rows), docs.column("id").take(pa.array(some)).combine_chunks(), pa.array(column(docs, "held")[some]),
-        pa.array(total(np.ones(len(word))).astype(np.int64)), pa.array(total(counts[word] > 0).astype(np.int64)),
-        pa.array(total(np.log10(counts[word] + 0.5))), pa.array(total(value[which[of_pair]]))],
-        ["row", "id", "held", "n_tokens", "n_known", "base", "score"])
+    value, base, known = value[which], np.log10(counts[v] + 0.5), counts[v] > 0
+    at, gone, out = 0, 0, []
+    until = np.cumsum(size)
+    del u, which, keys, last, first, seen, kept
+    for uses, docs in zip(data["uses"], data["docs"], strict=True):  # a text's pairs are all in one packet
+        used, own = unpacked([uses]), unpacked([docs])
+        doc, times = column(used, "doc"), column(used, "times")
+        gone += len(doc)
+        end = int(np.searchsorted(until, gone)) + 1
+        pair, n = np.repeat(np.arange(at, end), size[at:end]), own.num_rows
+        total = lambda x: np.bincount(doc, x * times, n)  # noqa: B023, E731
+        out.append(pa.RecordBatch.from_arrays([
+            *(own.column(c).combine_chunks() for c in ("row", "id", "held")), pa.array(total(1).astype(np.int64)), pa.array(total(known[pair]).astype(np.int64)),
+            pa.array(total(base[pair])), pa.array(total(value[pair]))], ["row", "id", "held", "n_tokens", "n_known", "base", "score"]))
+        at = end
+    return pa.Table.from_batches(out)
 
 
 def corpus_of(texts: DataFrame, text_bytes: int) -> Corpus:
@@ -289,12 +295,12 @@ def score(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text: st
             held = batch.column(2).to_numpy(zero_copy_only=False)
             for run in pieces(texts):
                 n = len(run)
-                for b, pairs, uses, own in deal(run, np.arange(row, row + n), batch.column(1)[at:at + n], held[at:at + n], shared.value):
-                    yield pa.RecordBatch.from_pydict({"bucket": pa.array([b], pa.int32()), "pairs": [pairs], "uses": [uses], "docs": [own]})
+                for b, pairs, numbers, uses, own in deal(run, np.arange(row, row + n), batch.column(1)[at:at + n], held[at:at + n], shared.value):
+                    yield pa.RecordBatch.from_pydict({"bucket": pa.array([b], pa.int32()), "pairs": [pairs], "numbers": [numbers], "uses": [uses], "docs": [own]})
                 at, row = at + n, row + n
 
-    sums = rows.mapInArrow(dealt, "bucket int, pairs binary, uses binary, docs binary").groupBy("bucket").applyInArrow(
-        lambda table: pa.Table.from_batches([score_bucket(table, shared.value)]),
+    sums = rows.mapInArrow(dealt, "bucket int, pairs binary, numbers binary, uses binary, docs binary").groupBy("bucket").applyInArrow(
+        lambda table: score_bucket(table, shared.value),
         "row long, id long, held boolean, n_tokens long, n_known long, base double, score double")
     merged = sums.groupBy("row").agg(F.any_value("id").alias("id"), F.any_value("held").alias("held"), *(
         F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score")))
