@@ -1,8 +1,8 @@
 """Removal of byte strings that repeat across or within documents, by suffix arrays of shards.
 
 Each string of LENGTH bytes holds an anchor: the position, among those in it, whose hash of the next ANCHOR bytes is least.
-Equal strings have equal anchors at the same place, so repeated strings meet where anchors are grouped by hash, with all
-bytes that a string over the anchor may reach: its region. Regions that are alike in full are repeats as they are and are
+Equal strings have equal anchors at the same place, so repeated strings meet where anchors are grouped by hash, each with
+its region: the bytes of all strings that have this anchor. Regions that are alike in full are repeats as they are and are
 only counted. What is left of a group, its distinct regions, goes to a shard. There a suffix array is made by prefix
 doubling with Larsson and Sadakane's refinement: only groups of suffixes that are still equal are sorted again. Common
 prefixes of neighbours follow by Kasai's bound: a suffix shares with its neighbour all but one byte of what the suffix
@@ -18,32 +18,34 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsmill.llm.chosen_path import groups_of, runs_of
-from newsmill.llm.tables import PIECE_BYTES, others, pieces, spans_of, stored
+from newsmill.llm.tables import others, pieces, spans_of, stored
 
 LENGTH, ANCHOR = 400, 64
-BEFORE = LENGTH - ANCHOR  # bytes of a region before its anchor; it ends LENGTH bytes after the anchor's start
 SHARD_REGIONS = 2_000  # distinct regions of one anchor in a shard
-STEP = 7  # symbols in the first sort key
+BROADCAST_BYTES = 64_000_000  # of regions or spans by row; more are joined by shuffle
+STEP = 5  # symbols of nine bits in the first sort key, below the group
+ANCHOR_PIECE = 1_000_000  # bytes of text whose anchors a task seeks at once
 
 
-def anchors(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Positions of the anchors of texts that lie one after the other in `data`; each text has its own.
+def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors of texts that lie one after the other in `data`, and start and stop of their regions; each text has its own.
 
     The hash of ANCHOR bytes is a difference of prefix sums; a sliding minimum over the positions of a string names the
     anchor, the leftmost where hashes tie.
     """
     n = len(data)
+    none = np.zeros(0, np.int64)
     if n < LENGTH:
-        return np.zeros(0, np.int64)
+        return none, none, none
     powers, back = power_tables(n)
     sums = np.r_[np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:n])]
     hashes = (sums[ANCHOR:] - sums[:-ANCHOR]) * back[:n - ANCHOR + 1]
     hashes = (hashes ^ (hashes >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    width = BEFORE + 1  # positions of a string at which an anchor may start
+    width = LENGTH - ANCHOR + 1  # positions of a string at which an anchor may start
     # The hash above the position: the least key is the least hash, and the leftmost where hashes tie.
     keys = (((hashes >> np.uint64(35)) << np.uint64(34)).view(np.int64)) | np.arange(len(hashes))
     blocks = -(-len(keys) // width)
@@ -59,8 +61,13 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     edges = np.zeros(n + 1, np.int64)
     np.add.at(edges, begins[own], 1)
     np.add.at(edges, (ends - LENGTH + 1)[own], -1)
-    least = least[np.cumsum(edges)[:many] > 0]  # of the strings within one text
-    return np.unique(least[np.r_[True, least[1:] != least[:-1]]]) if len(least) else least
+    starts = np.flatnonzero(np.cumsum(edges)[:many] > 0)  # of the strings within one text
+    least = least[starts]
+    if not len(least):
+        return none, none, none
+    # The anchor moves on with the strings, so those that have the same one follow each other.
+    first = np.r_[True, least[1:] != least[:-1]]
+    return least[first], starts[first], starts[np.r_[first[1:], True]] + LENGTH
 
 
 @cache
@@ -71,68 +78,82 @@ def tables_of(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of a factor and of its inverse, at least n of each; the usual size is remembered."""
-    return tables_of(2 * PIECE_BYTES) if n <= 2 * PIECE_BYTES else tables_of.__wrapped__(n)
+    return tables_of(2 * ANCHOR_PIECE) if n <= 2 * ANCHOR_PIECE else tables_of.__wrapped__(n)
 
 
-ANCHOR_FIELDS = "anchor long, region binary, row long, start int, stop int"
+ANCHOR_FIELDS = "anchor long, region long, row long, start int, stop int"
 
 
 def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each anchor its hash, a hash of its region, and where the region lies. Input: row, text."""
+    """For each anchor its hash, a hash of its region, and where the region lies. Input: row, text.
+
+    Regions are compared below the same anchor only, so 64 bits of each make 128.
+    """
     for batch in batches:
         ids, at = batch.column(0).to_pylist(), 0
-        for run in pieces(batch.column(1).to_pylist()):
+        for run in pieces(batch.column(1).to_pylist(), ANCHOR_PIECE):
             rows = ids[at:at + len(run)]
             at += len(run)
             raw = [t.encode() for t in run]
             whole = b"".join(raw)
             ends = np.cumsum([len(x) for x in raw])
-            found = anchors(np.frombuffer(whole, np.uint8), ends)
+            found, start, stop = anchors(np.frombuffer(whole, np.uint8), ends)
             of = np.searchsorted(ends, found, "right")
             begins = np.r_[0, ends[:-1]]
-            start, stop = np.maximum(found - BEFORE, begins[of]), np.minimum(found + LENGTH, ends[of])
             view = memoryview(whole)
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.array([xxhash.xxh64_intdigest(view[a:a + ANCHOR]) for a in found.tolist()], np.uint64).view(np.int64)),
-                pa.array([xxhash.xxh128_digest(view[a:b]) for a, b in zip(start.tolist(), stop.tolist(), strict=True)], pa.binary()),
+                pa.array(np.array([xxhash.xxh64_intdigest(view[a:b], seed=1) for a, b in zip(start.tolist(), stop.tolist(), strict=True)], np.uint64).view(np.int64)),
                 pa.array(np.array(rows, np.int64)[of] if len(of) else np.zeros(0, np.int64)),
                 pa.array((start - begins[of]).astype(np.int32)), pa.array((stop - begins[of]).astype(np.int32))],
                 ["anchor", "region", "row", "start", "stop"])
 
 
-def suffix_array(data: np.ndarray, group: np.ndarray, left: np.ndarray, reach: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes sorted by group, then by content up to the end of their region, at least `reach` bytes deep, and their ranks.
+def suffix_array(data: np.ndarray, group: np.ndarray, left: np.ndarray, reach: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Suffixes sorted by group, then by content up to the end of their region or `reach` bytes, their ranks, and the ranks before
+    the last step.
 
-    left: how many bytes each suffix has in its region. Equal ranks remain where suffixes agree that deep.
+    left: how many bytes each suffix has in its region. Equal ranks remain where suffixes agree that deep. No suffix is
+    told apart beyond that.
     """
     n = len(data)
     symbols = np.zeros(n + STEP, np.int64)
     symbols[:n] = data.astype(np.int64) + 1
-    key = np.zeros(n, np.int64)
+    key = group.astype(np.int64)
     for k in range(STEP):
-        key = key * 257 + np.where(k < left, symbols[k:k + n], 0)
-    order = np.lexsort((key, group))
-    new = np.r_[True, (key[order][1:] != key[order][:-1]) | (group[order][1:] != group[order][:-1])]
+        key = (key << 9) | np.where(k < left, symbols[k:k + n], 0)
+    order = np.argsort(key)
+    key = key[order]
+    new = np.r_[True, key[1:] != key[:-1]]
     rank = np.empty(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    depth = STEP
+    depth, earlier = STEP, rank
     while depth < reach:
+        step = min(depth, reach - depth)
         edge = np.r_[np.flatnonzero(new), n]
         size = np.diff(edge)
-        open_ = spans_of(edge[:-1][size > 1], size[size > 1])  # places in the array that are not settled
+        go_on = (size > 1) & (left[order[edge[:-1]]] >= depth)  # equal suffixes that have ended stay equal
+        open_ = spans_of(edge[:-1][go_on], size[go_on])  # places in the array that are not settled
         if not len(open_):
             break
+        if depth + step == reach:
+            earlier = rank.copy()
         suffix = order[open_]
-        beyond = np.where(left[suffix] > depth, rank[np.minimum(suffix + depth, n - 1)] + 1, 0)
-        own = rank[suffix]
-        sort = np.lexsort((beyond, own))
-        suffix, beyond, own = suffix[sort], beyond[sort], own[sort]
+        beyond = np.where(left[suffix] > step, rank[np.minimum(suffix + step, n - 1)] + 1, 0)
+        key = rank[suffix] * (n + 1) + beyond
+        if n < 1 << 20:  # the place fits below the key: sorting values is faster than sorting places
+            key = np.sort((key << 20) | np.arange(len(key)))
+            sort, key = key & ((1 << 20) - 1), key >> 20
+        else:
+            sort = np.argsort(key)
+            key = key[sort]
+        suffix = suffix[sort]
         order[open_] = suffix
-        split = np.r_[True, (own[1:] != own[:-1]) | (beyond[1:] != beyond[:-1])]
+        split = np.r_[True, key[1:] != key[:-1]]
         new[open_] |= split
         rank[suffix] = np.maximum.accumulate(np.where(split, open_, 0))
-        depth *= 2
-    return order, rank
+        depth += step
+    return order, rank, earlier
 
 
 def words_at(data: np.ndarray) -> np.ndarray:
@@ -155,20 +176,26 @@ def extend(data: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray, kno
     return length
 
 
-def common_prefixes(data: np.ndarray, order: np.ndarray, group: np.ndarray, left: np.ndarray) -> np.ndarray:
+def common_prefixes(data: np.ndarray, order: np.ndarray, rank: np.ndarray, earlier: np.ndarray, group: np.ndarray, left: np.ndarray) -> np.ndarray:
     """Bytes that each suffix in the array shares with the one before it, at most LENGTH of them.
 
-    Kasai's bound in halving strides: the suffix s + k shares with its neighbour at least what s shares with its own, less
+    Suffixes of equal rank share that much or their whole region; those whose ranks differed before the last step, and those
+    with fewer bytes, share less, and count as 0. For the others, Kasai's bound in halving strides: the suffix s + k shares with its neighbour at least what s shares with its own, less
     k. Positions at the stride are done together, each from the bound of the position one stride before.
     """
     n = len(order)
     before = np.full(n, -1)
     before[order[1:]] = order[:-1]
     ok = before >= 0
-    ok[ok] = group[before[ok]] == group[ok]
+    ok[ok] = (group[before[ok]] == group[ok]) & (left[ok] >= LENGTH) & (left[before[ok]] >= LENGTH)
     most = np.where(ok, np.minimum(left, left[np.maximum(before, 0)]), 0)
     most = np.minimum(most, LENGTH)
-    shared, done = np.zeros(n, np.int64), np.zeros(n, bool)
+    shared, done = np.zeros(n, np.int64), ~ok
+    alike = np.flatnonzero(ok)
+    done[alike[earlier[alike] != earlier[before[alike]]]] = True
+    tied = np.flatnonzero(ok)
+    tied = tied[rank[tied] == rank[before[tied]]]
+    shared[tied], done[tied] = most[tied], True
     stride = 64
     while stride:
         at = np.arange(0, n, stride)
@@ -176,13 +203,12 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, group: np.ndarray, left
         prior = at - stride
         bound = np.where(prior >= 0, np.maximum(shared[np.maximum(prior, 0)] - stride, 0), 0)
         bound = np.where(left[at] + stride == left[np.maximum(prior, 0)], bound, 0)  # of the same region
-        go = ok[at]
-        some = at[go]
-        shared[some] = extend(data, some, before[some], most[some], bound[go])
+        shared[at] = extend(data, at, before[at], most[at], bound)
         done[at] = True
         stride //= 2
     # Suffixes alike beyond the depth of the array stand in any order, where the bound may promise too much.
     claimed = np.flatnonzero(shared >= LENGTH)
+    claimed = claimed[rank[claimed] != rank[before[claimed]]]
     shared[claimed] = extend(data, claimed, before[claimed], most[claimed], np.zeros(len(claimed), np.int64))
     return shared[order]
 
@@ -256,9 +282,10 @@ def repeats_in(table: pa.Table) -> pa.RecordBatch | None:
     compact = np.full(n, -1)
     compact[base] = np.arange(len(base))
     own = np.r_[data[base], np.zeros(16, np.uint8)]
-    order, _ = suffix_array(own[:-16], group[base], left[base])
-    shared = common_prefixes(own, order, group[base], left[base])
+    order, rank, earlier = suffix_array(own[:-16], group[base], left[base])
+    shared = common_prefixes(own, order, rank, earlier, group[base], left[base])
     order = base[order]
+    del rank, earlier, own
     # A class: suffixes that share LENGTH bytes. It repeats if it holds two places, or a region that occurs twice.
     klass = np.cumsum(shared < LENGTH) - 1
     long_ = left[order] >= LENGTH
@@ -281,7 +308,8 @@ def repeats_in(table: pa.Table) -> pa.RecordBatch | None:
         back = np.zeros(count, bool)
         np.logical_or.at(back, other[elsewhere], True)
         hit.append(order[back[klass] & (part[order] == 0)])
-    found = np.unique(np.concatenate(hit))
+    found = np.sort(np.concatenate(hit))
+    found = found[np.r_[True, found[1:] != found[:-1]]] if len(found) else found
     if not len(found):
         return None
     edge = np.r_[True, (found[1:] != found[:-1] + 1) | (region[found[1:]] != region[found[:-1]])]
@@ -294,41 +322,56 @@ def cut_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of regions. Input: row, text, regions (array of structs)."""
     for batch in batches:
         rows, texts, lists = (batch.column(i).to_pylist() for i in range(3))
-        out = [(r["anchor"], r["cells"], r["many"], row, r["start"], raw[r["start"]:r["stop"]])
+        out = [(r["anchor"], r["region"], r["n_kinds"], r["many"], row, r["start"], raw[r["start"]:r["stop"]])
                for row, text, regions in zip(rows, texts, lists, strict=True) for raw in [text.encode()] for r in regions]
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.binary())
         for i in range(0, len(out), 5_000):
-            columns = list(zip(*out[i:i + 5_000], strict=True))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.list_(pa.struct([("shard", pa.string()), ("part", pa.int32())]))),
-                pa.array(columns[2], pa.bool_()), pa.array(columns[3], pa.int64()), pa.array(columns[4], pa.int32()),
-                pa.array(columns[5], pa.binary())], ["group", "cells", "many", "row", "start", "content"])
+            columns = zip(*out[i:i + 5_000], strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                                             ["group", "region", "n_kinds", "many", "row", "start", "content"])
+
+
+def small(by_row: DataFrame, column: str) -> DataFrame:
+    """A join side with a broadcast hint if its counted rows and array entries allow that; else both sides are shuffled."""
+    size = by_row.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size(column)).alias("e")).first()
+    return F.broadcast(by_row) if 60 * size["n"] + 60 * (size["e"] or 0) <= BROADCAST_BYTES else by_row
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
-    """row, start, stop of bytes in strings of LENGTH bytes that also start elsewhere. `texts`: row (unique), text (not NULL)."""
+    """row and spans (array of start, stop) of bytes in strings of LENGTH bytes that also start elsewhere.
+
+    `texts`: row (unique), text (not NULL).
+    """
     spark = texts.sparkSession
     found = stored(texts.filter(F.octet_length("text") >= LENGTH).mapInArrow(find_anchors, ANCHOR_FIELDS), "anchors")
-    kinds = stored(found.groupBy("anchor", "region").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "start", "stop")).alias("one")), "regions")
+    kinds = found.groupBy("anchor", "region").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "start", "stop")).alias("one"))
     groups = kinds.groupBy("anchor").agg(F.sum("n").alias("n_all"), F.count(F.lit(1)).alias("n_kinds"), F.min("n").alias("least"))
-    alike = found.join(kinds.filter("n > 1").select("anchor", "region"), ["anchor", "region"], "left_semi").select("row", "start", "stop")
-    mixed = groups.filter("n_kinds > 1 AND least = 1").select("anchor", "n_kinds")
-    wanted = kinds.join(mixed, "anchor").select("anchor", "region", "n_kinds", (F.col("n") > 1).alias("many"), "one.*")
+    shared = groups.filter("n_all > 1").select("anchor", "n_kinds", "least")
+    kinds = stored(kinds.join(shared, "anchor").select("anchor", "region", "n", "n_kinds", "least", "one.*"), "regions")
+    twice = kinds.filter("n > 1").select("anchor", "region")
+    alike = found.join(twice, ["anchor", "region"], "left_semi").select("row", "start", "stop")
+    wanted = kinds.filter("n_kinds > 1 AND least = 1").withColumn("many", F.col("n") > 1)
+    by_row = stored(wanted.groupBy("row").agg(F.collect_list(F.struct("anchor", "region", "n_kinds", "many", "start", "stop")).alias("regions")), "wanted")  # of one text
+    regions = texts.join(small(by_row, "regions"), "row").select("row", "text", "regions").mapInArrow(
+        cut_regions, "group long, region long, n_kinds long, many boolean, row long, start int, content binary")
     # Shards: small groups share one by hash; a large one is cut, and each two of its parts meet in a shard of their own.
-    cuts = F.ceil(F.col("n_kinds") / SHARD_REGIONS).cast("int")
-    own = F.pmod(F.xxhash64("region"), cuts).cast("int")
     shards = F.lit(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1) * 8)
-    alone = F.array(F.struct(F.concat(F.lit("s"), F.pmod(F.xxhash64("anchor"), shards)).alias("shard"), F.lit(2).alias("part")))
+    alone = F.array(F.struct(F.concat(F.lit("s"), F.pmod(F.xxhash64("group"), shards)).alias("shard"), F.lit(2).alias("part")))
     met = F.transform(F.sequence(F.lit(0), F.col("_cuts") - 1), lambda other: F.struct(
-        F.concat_ws("-", F.col("anchor").cast("string"), F.least("_own", other), F.greatest("_own", other)).alias("shard"),
+        F.concat_ws("-", F.col("group").cast("string"), F.least("_own", other), F.greatest("_own", other)).alias("shard"),
         F.when(F.col("_own") == other, 2).when(F.col("_own") < other, 0).otherwise(1).alias("part")))
-    dealt = wanted.withColumns({"_cuts": cuts, "_own": own}).withColumn("cells", F.when(F.col("_cuts") > 1, met).otherwise(alone))
-    by_row = dealt.groupBy("row").agg(F.collect_list(F.struct("anchor", "cells", "many", "start", "stop")).alias("regions"))  # of one text
-    regions = texts.join(by_row, "row").select("row", "text", "regions").mapInArrow(
-        cut_regions, "group long, cells array<struct<shard: string, part: int>>, many boolean, row long, start int, content binary")
-    spread = regions.select(F.explode("cells").alias("c"), "group", "many", "row", "start", "content").select(
+    cuts = F.ceil(F.col("n_kinds") / SHARD_REGIONS).cast("int")
+    dealt = regions.withColumn("_cuts", cuts).withColumn("_own", F.pmod(F.xxhash64("region"), F.col("_cuts")).cast("int"))
+    spread = dealt.withColumn("c", F.explode(F.when(F.col("_cuts") > 1, met).otherwise(alone))).select(
         "c.shard", "group", "c.part", "many", "row", "start", "content")
     unlike = spread.repartition("shard").sortWithinPartitions("shard").mapInArrow(repeats, "row long, start int, stop int")
-    return stored(alike.unionByName(unlike), "repeats")
+    # Spans of a text that overlap or touch become one.
+    order = Window.partitionBy("row").orderBy("start")
+    behind = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    spans = alike.unionByName(unlike).groupBy("row", "start").agg(F.max("stop").alias("stop")).withColumn("_b", behind)
+    island = F.sum(F.when(F.col("_b") >= F.col("start"), 0).otherwise(1)).over(order)
+    merged = spans.withColumn("_i", island).groupBy("row", "_i").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    return stored(merged.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "repeats")
 
 
 def without_spans(raw: bytes, spans: list | None) -> tuple[bytes, int]:
@@ -355,7 +398,7 @@ def dedup(docs: DataFrame, text: str = "text") -> DataFrame:
     numbered = stored(docs.select(*others(docs, *outputs, "_row", "_text"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"),
                                   F.monotonically_increasing_id().alias("_row")), "texts")
     spans = repeated_spans(numbered.select(F.col("_row").alias("row"), F.col("_text").alias("text")))
-    by_row = spans.distinct().groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("_spans")).withColumnRenamed("row", "_row")
+    by_row = small(spans, "spans").withColumnsRenamed({"row": "_row", "spans": "_spans"})
 
     @F.arrow_udf("struct<kept: binary, n_spans: long>")
     def removed(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -363,10 +406,7 @@ def dedup(docs: DataFrame, text: str = "text") -> DataFrame:
             kept, runs = zip(*(without_spans(t.encode(), s) for t, s in zip(texts.to_pylist(), lists.to_pylist(), strict=True)), strict=True) if len(texts) else ((), ())
             yield pa.StructArray.from_arrays([pa.array(kept, pa.binary()), pa.array(runs, pa.int64())], ["kept", "n_spans"])
 
-    joined = numbered.join(by_row, "_row", "left")
-    plain = F.struct(F.col("_text").cast("binary").alias("kept"), F.lit(0).cast("long").alias("n_spans"))
     columns = [F.col(f"`{c}`") for c in numbered.columns if c not in ("_row", "_text")]
-    touched = joined.filter("_spans IS NOT NULL").select(*columns, "_text", removed.asNondeterministic()("_text", "_spans").alias("_m"))
-    whole = touched.unionByName(joined.filter("_spans IS NULL").select(*columns, "_text", plain.alias("_m")))
+    whole = numbered.join(by_row, "_row", "left").select(*columns, "_text", removed.asNondeterministic()("_text", "_spans").alias("_m"))
     n = F.octet_length("_text").cast("long")
     return whole.select(*columns, F.col("_m.kept").alias("kept"), n.alias("n_bytes"), (n - F.octet_length("_m.kept")).alias("n_removed"), F.col("_m.n_spans").alias("n_spans"))

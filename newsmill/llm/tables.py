@@ -20,7 +20,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written as Parquet below the shared folder and read again, so that lost executors cost no recomputation."""
     folder = fresh_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
