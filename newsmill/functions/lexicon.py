@@ -139,13 +139,17 @@ def reweighted(lexicon: Lexicon, weights: dict[str, int]) -> Lexicon:
 
 
 def extended(lexicon: Lexicon, category: Category) -> Lexicon:
-    """The lexicon with one more category, or more patterns for an existing one."""
-    names = [c.name for c in lexicon.categories]
-    if category.name not in names:
+    """The lexicon with one more category, or more patterns for one of the same name, weight and priority.
+
+    Patterns of a known name with another weight or priority keep their own: they follow as a part of that category.
+    """
+    def same(c: Category) -> bool:
+        return c._replace(patterns=()) == category._replace(patterns=())
+
+    if not any(map(same, lexicon.categories)):
         return lexicon._replace(categories=lexicon.categories + (category,))
     return lexicon._replace(categories=tuple(
-        c._replace(patterns=c.patterns + category.patterns) if c.name == category.name else c
-        for c in lexicon.categories
+        c._replace(patterns=c.patterns + category.patterns) if same(c) else c for c in lexicon.categories
     ))
 
 

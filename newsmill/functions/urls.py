@@ -136,16 +136,21 @@ def quoted(word: str) -> str:
     return r"\Q" + word + r"\E"
 
 
+def matches_any(text: Column, patterns: list[str]) -> Column:
+    """True where any of the patterns occurs; an empty list occurs nowhere."""
+    return text.rlike("|".join(patterns)) if patterns else F.lit(False)
+
+
 def is_article(url: Column, rules: UrlRules = STRICT_RULES) -> Column:
     """True where the URL is an article page under `rules`."""
     u = F.lower(url)
     off_limits = [quoted(w) for w in rules.external + rules.nav_parts]
     off_limits += [quoted(w) + r"(?:\$|\z)" for w in rules.nav_endings]
-    in_scope = ~u.rlike("|".join(off_limits)) & u.rlike("|".join(map(quoted, rules.domains)))
+    in_scope = ~matches_any(u, off_limits) & matches_any(u, list(map(quoted, rules.domains)))
     has_marker = u.contains(rules.marker_site) & u.contains(rules.marker) & u.contains(rules.suffix)
     single = u.contains("/" + rules.marker) & (F.regexp_count(u, F.lit(quoted(rules.marker))) == 1)
     dated = (
-        u.rlike("|".join(map(quoted, rules.dated_names)))
+        matches_any(u, list(map(quoted, rules.dated_names)))
         & u.rlike("(?U)" + rules.dated_pattern)
         & (F.length(url) > rules.longer_than)
     )

@@ -31,7 +31,7 @@ def _parse(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for page in pages:
             try:
                 rows.append(title_and_body(page) if page is not None else (None, None))
-            except AssertionError:  # markup the parser rejects
+            except Exception:  # noqa: BLE001 - markup the parser rejects must cost one page, not the job
                 rows.append((None, None))
         yield pd.DataFrame(rows, columns=["title", "text"])
 
@@ -49,9 +49,9 @@ def parse_pages(pages: DataFrame) -> DataFrame:
     )
 
 
-def is_extracted(title: Column, text: Column) -> Column:
-    """True for a usable article: parsed, and a body of the least length."""
-    return F.coalesce(title.isNotNull() & (F.length(text) >= LEAST_BODY), F.lit(False))
+def is_extracted(title: Column, text: Column, least_body: int = LEAST_BODY) -> Column:
+    """True for a usable article: parsed, and a body of the least length (0: of any length)."""
+    return F.coalesce(title.isNotNull() & (F.length(text) >= least_body), F.lit(False))
 
 
 def author_list(authors: Column) -> Column:

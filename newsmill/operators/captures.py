@@ -23,8 +23,8 @@ SAMPLE_SIZE = 50
 
 
 def _stamp(ts: Column) -> Column:
-    """14-digit timestamp as a long: a fixed-width aggregation buffer."""
-    return ts.cast("bigint")
+    """14-digit timestamp as a long: a fixed-width aggregation buffer; NULL for anything but digits."""
+    return ts.try_cast("bigint")
 
 
 def _text(stamp: Column) -> Column:

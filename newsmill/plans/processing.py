@@ -44,6 +44,7 @@ def evaluate(
     language: str | None = None,
     by_language: dict[str, Lexicon] | None = None,
     otherwise: Lexicon | None = None,
+    least_body: int = 0,
 ) -> DataFrame:
     """Every candidate with its article, hits, score, relevance and outcome.
 
@@ -56,6 +57,7 @@ def evaluate(
     capture time).
     With `captured` among the candidate columns, rows where it is false are
     reported as not archived.
+    `least_body` is the least length of a usable body; only archived pages need one.
     """
     keyed = cut_lineage(candidates.withColumn("url_hash", url_hash(F.col("url"))))
     # The store is narrowed to the candidates, not shuffled, unless they are many.
@@ -75,7 +77,7 @@ def evaluate(
     if not unique_pages:
         found = first_per_key(found, ["url_hash"], [F.xxhash64("title", "text")])
     articles = marked.join(found, "url_hash", "left")
-    usable = F.col("text").isNotNull() if extract is None else is_extracted(F.col("title"), F.col("text"))
+    usable = F.col("text").isNotNull() if extract is None else is_extracted(F.col("title"), F.col("text"), least_body)
     articles = articles.withColumn("extracted", usable)
     body = F.when(F.col("extracted"), full_text(F.col("title"), F.col("text")))
     scored = score_text(
@@ -113,26 +115,29 @@ def run_errors(outcomes: DataFrame, run_time: Column) -> DataFrame:
     )
 
 
-def stored_before(spark, root: str, batch_id: int) -> DataFrame:
+def stored_before(spark, root: str, batch_id: int | str) -> DataFrame:
     """Hashes stored by other batches (a repeated batch must not see itself)."""
-    return read_table(spark, root, "articles").filter(F.col(BATCH) != batch_id).select("url_hash")
+    return read_table(spark, root, "articles").filter(F.col(BATCH) != str(batch_id)).select("url_hash")
 
 
 def store_outcomes(
-    outcomes: DataFrame, root: str, batch_id: int, run_time: Column,
-    sources: DataFrame | None = None,
+    outcomes: DataFrame, root: str, batch_id: int | str, run_time: Column,
+    sources: DataFrame | None = None, database: str | None = None,
 ) -> DataFrame:
     """Write one batch: matches, errors, sessions, then articles; returns the fixed outcomes.
 
+    `batch_id` must be the batch's own, see :func:`newsmill.sources.writers.batch_name`: an equal one is replaced.
+    With `database` the batch also becomes visible in the catalog tables there.
+
     The outcomes are written once to the shared folder first, so the tables
     agree and nothing is extracted or scored twice.
     """
     fixed = cut_lineage(outcomes)
     saved = fixed.filter(F.col("outcome") == SAVED)
-    write_batch(match_rows(saved), root, "keyword_matches", batch_id)
-    write_batch(run_errors(fixed, run_time), root, "error_log", batch_id)
+    write_batch(match_rows(saved), root, "keyword_matches", batch_id, database)
+    write_batch(run_errors(fixed, run_time), root, "error_log", batch_id, database)
     if sources is not None:
         write_batch(session_stats(fixed, sources, run_time, F.current_timestamp()),
-                    root, "scrape_sessions", batch_id)
-    write_batch(article_rows(fixed, run_time), root, "articles", batch_id)
+                    root, "scrape_sessions", batch_id, database)
+    write_batch(article_rows(fixed, run_time), root, "articles", batch_id, database)
     return fixed

@@ -21,6 +21,7 @@ from newsmill.functions.urls import DATED_RULES, STRICT_RULES, UrlRules
 from newsmill.operators import captures as cap
 from newsmill.operators import discovery as disc
 from newsmill.operators import search as find
+from newsmill.operators.articles import LEAST_BODY
 from newsmill.operators.ordering import with_global_index
 from newsmill.plans.processing import candidates_of_list, evaluate
 from newsmill.sources.config import sections, term_table
@@ -122,5 +123,6 @@ def archive_run(
     listed = candidates_of_list(urls).withColumn("source", F.lit(SINGLE_SOURCE))
     candidates = cap.first_capture(listed, captures, start, end).withColumn(
         "captured", F.col("ts").isNotNull())
+    scoring.setdefault("least_body", LEAST_BODY)
     return evaluate(candidates, captured_pages, stored, page_keys=("ts",),
                     threshold=threshold, **scoring)

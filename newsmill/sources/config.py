@@ -27,7 +27,6 @@ DATE_RANGE_SOURCES = NEWS_SOURCES[:3]
 # End of fixed values.
 
 # A configuration is small by nature; refuse anything that is not.
-CONFIG_ROWS = 10_000
 
 _SOURCE_FIELDS = pa.schema([
     ("source_ord", pa.int32()), ("source", pa.string()), ("base", pa.string()),
@@ -95,28 +94,23 @@ def term_table(spark: SparkSession, terms: Sequence[SearchTerm]) -> DataFrame:
     ], _TERM_FIELDS)
 
 
-def _config_rows(df: DataFrame) -> list:
-    rows = df.limit(CONFIG_ROWS + 1).collect()
-    if len(rows) > CONFIG_ROWS:
-        raise ValueError(f"a configuration table holds at most {CONFIG_ROWS} rows")
-    return rows
-
-
 def load_lexicons(patterns: DataFrame, exclusions: DataFrame | None = None) -> dict[str, Lexicon]:
     """Lexicons from tables shaped like :func:`lexicon_table` and :func:`exclusion_table`.
 
-    Patterns become literals of the scoring plan, so this small table is read
-    when the plan is built.
+    Patterns become literals of the scoring plan, so this configuration is read
+    when the plan is built.  Each row keeps its weight and priority, and rows
+    their order: neighbours that agree in both and in the category are one part of it.
     """
-    grouped: dict[str, dict[str, Category]] = {}
-    for row in sorted(_config_rows(patterns), key=lambda r: (r.language, r.pattern_ord)):
-        names = grouped.setdefault(row.language, {})
-        known = names.get(row.category, Category(row.category, row.priority, row.weight, ()))
-        names[row.category] = known._replace(patterns=known.patterns + (row.pattern,))
+    grouped: dict[str, list[Category]] = {}
+    for row in sorted(patterns.collect(), key=lambda r: (r.language, r.pattern_ord)):
+        parts, head = grouped.setdefault(row.language, []), Category(row.category, row.priority, row.weight, ())
+        if not parts or parts[-1]._replace(patterns=()) != head:
+            parts.append(head)
+        parts[-1] = parts[-1]._replace(patterns=parts[-1].patterns + (row.pattern,))
     blocked: dict[str, list[str]] = {}
-    for row in _config_rows(exclusions) if exclusions is not None else []:
+    for row in (exclusions.collect() if exclusions is not None else []):
         blocked.setdefault(row.language, []).append(row.pattern)
     return {
-        language: Lexicon(tuple(names.values()), tuple(blocked.get(language, ())))
-        for language, names in grouped.items()
+        language: Lexicon(tuple(parts), tuple(blocked.get(language, ())))
+        for language, parts in grouped.items()
     }

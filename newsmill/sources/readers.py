@@ -33,7 +33,7 @@ def parse_capture_index(answers: DataFrame, body: str = "value", keep: tuple[str
     rows = F.from_json(F.col(body), "array<array<string>>")
     return (
         answers.select(*keep, F.posexplode(rows).alias("_pos", "_row"))
-        .filter("_pos > 0").select(*keep, F.col("_row")[0].alias("ts"))
+        .filter("_pos > 0").select(*keep, F.get("_row", F.lit(0)).alias("ts")).filter("ts IS NOT NULL")
     )
 
 

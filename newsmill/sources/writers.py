@@ -27,18 +27,24 @@ def create_catalog_tables(spark: SparkSession, root: str, database: str = "defau
     for name, schema in STORE_TABLES.items():
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}, `{BATCH}` BIGINT) "
+            f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}, `{BATCH}` STRING) "
             f"USING parquet PARTITIONED BY (`{BATCH}`) LOCATION '{table_path(root, name)}'"
         )
+        spark.sql(f"ALTER TABLE `{database}`.`{name}` RECOVER PARTITIONS")  # of batches written before
+
+
+def batch_name(run: str, number: int = 0) -> str:
+    """The id of one batch of one run; two runs never share one, however they number their batches."""
+    return f"{run}-{number:09d}"
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A stored table with the batch number as partition column."""
-    schema = T.StructType(STORE_TABLES[table].fields + [T.StructField(BATCH, T.LongType())])
+    """A stored table with the batch id as partition column."""
+    schema = T.StructType(STORE_TABLES[table].fields + [T.StructField(BATCH, T.StringType())])
     return spark.read.schema(schema).parquet(table_path(root, table))
 
 
-def write_batch(df: DataFrame, root: str, table: str, batch_id: int) -> None:
+def write_batch(df: DataFrame, root: str, table: str, batch_id: int | str, database: str | None = None) -> None:
     """Add one batch to a table; writing the same batch again replaces it.
 
     So a batch that failed half-way, on any of the tables, is simply repeated.
@@ -46,6 +52,9 @@ def write_batch(df: DataFrame, root: str, table: str, batch_id: int) -> None:
     columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in STORE_TABLES[table]]
     path = f"{table_path(root, table)}/{BATCH}={batch_id}"
     df.select(*columns).write.mode("overwrite").parquet(path)
+    if database is not None:
+        df.sparkSession.sql(
+            f"ALTER TABLE `{database}`.`{table}` ADD IF NOT EXISTS PARTITION (`{BATCH}` = '{batch_id}') LOCATION '{path}'")
 
 
 def write_url_list(urls: DataFrame, path: str) -> None:

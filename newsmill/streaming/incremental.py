@@ -1,6 +1,7 @@
 """New pages as a stream: each micro-batch goes through the batch functions.
 
-The store keeps one folder per micro-batch.  A micro-batch repeated after a
+The store keeps one folder per micro-batch, named by the stream's own id, which Spark keeps with the checkpoint, and the
+batch number; so streams with other checkpoints add to the same store.  A micro-batch repeated after a
 failure replaces its own folder and ignores what it stored before, so the result
 is the same as if it had run once.
 """
@@ -16,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from newsmill.plans.processing import evaluate, store_outcomes, stored_before
 from newsmill.schemas import PAGES
 from newsmill.sources.readers import spread
-from newsmill.sources.writers import create_store
+from newsmill.sources.writers import batch_name, create_store
 
 
 def page_stream(
@@ -42,7 +43,9 @@ def store_stream(
     """
     create_store(pages.sparkSession, root)
 
-    def one_batch(batch: DataFrame, batch_id: int) -> None:
+    def one_batch(batch: DataFrame, number: int) -> None:
+        stream = batch.sparkSession.read.text(f"{checkpoint.rstrip('/')}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
+        batch_id = batch_name(stream, number)
         ready = spread(batch if prepare is None else prepare(batch))
         stored = stored_before(batch.sparkSession, root, batch_id)
         outcomes = evaluate(candidates(ready), ready, stored, **options)

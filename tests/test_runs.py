@@ -51,10 +51,10 @@ def list_run(spark):
 def test_url_list_run(spark):
     out = list_run(spark)
     got = {r.url: (r.outcome, r.copies) for r in out.collect()}
-    assert got == {"a/hit": ("saved", 3), "a/low": ("score_too_low", 2), "a/short": ("errors", 1),
+    assert got == {"a/hit": ("saved", 3), "a/low": ("score_too_low", 2), "a/short": ("score_too_low", 1),
                    "a/gone": ("errors", 1), "a/known": ("already_scraped", 1), "a/gate": ("score_too_low", 1)}
     row = counters.run_counters(out, "copies").first()
-    assert (row.total, row.processed, row.saved, row.score_too_low, row.already_scraped, row.errors) == (9, 4, 1, 3, 3, 2)
+    assert (row.total, row.processed, row.saved, row.score_too_low, row.already_scraped, row.errors) == (9, 5, 1, 4, 3, 1)
     assert row.hit_rate == 25.0
 
 
@@ -67,7 +67,7 @@ def test_store_is_written_once_and_repeats_are_ignored(spark):
         assert processing.stored_before(spark, root, 0).count() == 0
         processing.store_outcomes(list_run(spark), root, 0, at(), sources)
     counts = {t: writers.read_table(spark, root, t).count() for t in ("articles", "keyword_matches", "error_log", "scrape_sessions")}
-    assert counts == {"articles": 1, "keyword_matches": 2, "error_log": 2, "scrape_sessions": 2}
+    assert counts == {"articles": 1, "keyword_matches": 2, "error_log": 1, "scrape_sessions": 2}
     article = writers.read_table(spark, root, "articles").first()
     assert (article.url, article.heat_score, article.category) == ("a/hit", 12.0, "MODERATELY_RELEVANT")
     assert [m.keyword for m in article.keywords_matched] == ["heat death", "heat wave"]
@@ -212,3 +212,45 @@ def test_nothing_to_do(spark):
     assert out.count() == 0
     row = counters.run_counters(out, "copies").first()
     assert row.total == 0 and row.hit_rate == 0.0
+
+
+def test_runs_with_their_own_checkpoints_accumulate(spark, tmp_path):
+    rows = [(i, f"{IV}/news/article_{i}.html", page(f"T{i}", HEAT)) for i in range(6)]
+    folder = str(tmp_path / "pages")
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(folder)
+    root = fresh_folder(spark, "store")
+    for part in ("page_id < 4", "page_id > 2"):
+        incremental.store_stream(
+            incremental.page_stream(spark, folder).filter(part), root, fresh_folder(spark, "state"), at(),
+            incremental.pages_as_candidates(urls.host_of)).awaitTermination()
+    assert sorted(r.url for r in writers.read_table(spark, root, "articles").collect()) == sorted(u for _, u, _ in rows)
+
+
+def test_short_bodies_count_except_in_archives(spark):
+    short = page_table(spark, [("a/short", "<h1>Heat stroke</h1><article>heat death</article>")])
+    listed = spark.createDataFrame([("a/short", 0)], "url string, n int")
+    out = runs.url_list_run(listed, short, hashes(spark, [])).first()
+    assert out.outcome != "errors" and out.heat_score > 0
+    captured = short.withColumn("ts", F.lit("20240705120000"))
+    index = captured.select("url", "ts", F.lit(200).alias("statuscode"))
+    archived = runs.archive_run(listed, index, captured, hashes(spark, []), "20240701", "20240730")
+    assert archived.first().outcome == "errors"
+
+
+def test_catalog_shows_stored_batches(spark):
+    root = fresh_folder(spark, "store")
+    writers.create_store(spark, root)
+    spark.sql("CREATE DATABASE IF NOT EXISTS batches")
+    writers.create_catalog_tables(spark, root, "batches")
+    processing.store_outcomes(list_run(spark), root, writers.batch_name("a"), at(), database="batches")
+    assert spark.table("batches.articles").count() == 1
+
+
+def test_lexicon_rows_keep_their_weights(spark):
+    rows = [("en", "heat", 1, 10, 0, "heat death"), ("en", "heat", 1, 99, 1, "heat wave")]
+    table = spark.createDataFrame(rows, "language string, category string, priority int, weight int, pattern_ord int, pattern string")
+    from newsmill.functions.scoring import score_text
+    from newsmill.sources.config import load_lexicons
+
+    texts = spark.createDataFrame([("heat death and heat wave",)], "text string")
+    assert score_text(texts, F.col("text"), otherwise=load_lexicons(table)["en"]).first().heat_score == 109
