@@ -55,7 +55,7 @@ def test_url_list_run(spark):
                    "a/gone": ("errors", 1), "a/known": ("already_scraped", 1), "a/gate": ("score_too_low", 1)}
     row = counters.run_counters(out, "copies").first()
     assert (row.total, row.processed, row.saved, row.score_too_low, row.already_scraped, row.errors) == (9, 5, 1, 4, 3, 1)
-    assert row.hit_rate == 25.0
+    assert row.hit_rate == 20.0
 
 
 def test_store_is_written_once_and_repeats_are_ignored(spark):
