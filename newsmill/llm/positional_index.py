@@ -93,7 +93,7 @@ def phrases(index: Index) -> DataFrame:
     """Exact matches: key, window, start, size; each once."""
     return candidates(index).filter(F.col("_i") >= 0).filter(
         F.get("around", F.col("_i") + F.col("second_offset")) == F.col("second")).filter(
-        F.slice("around", F.col("_i") + 1, F.col("size")) == F.col("wanted")).select("key", "window", "start", "size").distinct()
+        F.slice("around", F.greatest(F.col("_i"), F.lit(0)) + 1, F.col("size")) == F.col("wanted")).select("key", "window", "start", "size").distinct()
 
 
 def near(index: Index, share: float = 0.8) -> DataFrame:
