@@ -31,7 +31,7 @@ from newsmill.llm.tables import pieces, spans_of, stored
 START, END = b"\t", b"\n"  # no word holds a blank
 STRENGTH = 20.0  # K: how many observations of a context the unigram is worth
 BINS = 4096
-BUCKET_BYTES = 16_000_000  # of text for each bucket of pairs
+BUCKET_BYTES = 12_000_000  # of text for each bucket of pairs
 
 
 class EliasFano:
@@ -126,7 +126,12 @@ class Trie:
             np.save(folder / f"{name}-bins.npy", bins)
             np.save(folder / f"{name}-values.npy", stands)
 
-    def look_up(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    def look_up(self, first: np.ndarray, last: np.ndarray, some: int = 1 << 17) -> np.ndarray:
+        """The smoothed value of each pair, `some` pairs at a time."""
+        parts = [self.values(first[i:i + some], last[i:i + some]) for i in range(0, len(last), some)]
+        return np.concatenate(parts) if parts else np.zeros(0)
+
+    def values(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         n = len(self.word_bins)
         value = self.word_values[self.word_bins[last]]
         if not self.children.n or not len(last):
@@ -262,6 +267,7 @@ def score_bucket(table: pa.Table, corpus: Corpus) -> pa.Table:
             *(own.column(c).combine_chunks() for c in ("row", "id", "held")), pa.array(total(1).astype(np.int64)), pa.array(total(known[pair]).astype(np.int64)),
             pa.array(total(base[pair])), pa.array(total(value[pair]))], ["row", "id", "held", "n_tokens", "n_known", "base", "score"]))
         at = end
+    pa.default_memory_pool().release_unused()
     return pa.Table.from_batches(out)
 
 
