@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from newsmill.llm.tables import pieces, spans_of, stored
 
 START, END = b"\t", b"\n"  # no word holds a blank
+SUMS = ("row", "id", "held", "n_tokens", "n_known", "base", "score")
 STRENGTH = 20.0  # K: how many observations of a context the unigram is worth
 BINS = 4096
 BUCKET_BYTES = 12_000_000  # of text for each bucket of pairs
@@ -228,7 +229,7 @@ def deal(texts: list[str], rows: np.ndarray, ids: pa.Array, held: np.ndarray, co
 
 
 def score_bucket(table: pa.Table, corpus: Corpus) -> pa.Table:
-    """Sums over the pairs of a bucket for each text."""
+    """Sums over the pairs of a bucket for each text, in one packet for each run of texts."""
     data = {name: table.column(name).to_pylist() for name in ("pairs", "numbers", "uses", "docs")}
     column = lambda t, name: t.column(name).to_numpy()
     names = pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in data.pop("pairs")]).unify_dictionaries().column("word")
@@ -256,19 +257,29 @@ def score_bucket(table: pa.Table, corpus: Corpus) -> pa.Table:
     at, gone, out = 0, 0, []
     until = np.cumsum(size)
     del u, which, keys, last, first, seen, kept
-    for uses, docs in zip(data["uses"], data["docs"], strict=True):  # a text's pairs are all in one packet
+    for piece, uses, docs in zip(table.column("piece").to_pylist(), data["uses"], data["docs"], strict=True):  # a text's pairs are all in one packet
         used, own = unpacked([uses]), unpacked([docs])
         doc, times = column(used, "doc"), column(used, "times")
         gone += len(doc)
         end = int(np.searchsorted(until, gone)) + 1
         pair, n = np.repeat(np.arange(at, end), size[at:end]), own.num_rows
         total = lambda x: np.bincount(doc, x * times, n)  # noqa: B023, E731
-        out.append(pa.RecordBatch.from_arrays([
+        out.append((piece, packed(dict(zip(SUMS, [
             *(own.column(c).combine_chunks() for c in ("row", "id", "held")), pa.array(total(1).astype(np.int64)), pa.array(total(known[pair]).astype(np.int64)),
-            pa.array(total(base[pair])), pa.array(total(value[pair]))], ["row", "id", "held", "n_tokens", "n_known", "base", "score"]))
+            pa.array(total(base[pair])), pa.array(total(value[pair]))], strict=True)))))
         at = end
     pa.default_memory_pool().release_unused()
-    return pa.Table.from_batches(out)
+    return pa.table({"piece": pa.array([p for p, _ in out], pa.int64()), "sums": pa.array([s for _, s in out], pa.binary())})
+
+
+def sum_piece(table: pa.Table) -> pa.Table:
+    """Adds up what the buckets say about the texts of one run, which is about PIECE_BYTES long."""
+    found = unpacked(table.column("sums").to_pylist())
+    _, first, which = np.unique(found.column("row").to_numpy(), return_index=True, return_inverse=True)
+    own = found.select(["id", "held"]).take(pa.array(first))
+    sums = {c: np.bincount(which, found.column(c).to_numpy(), len(first)) for c in SUMS[3:]}
+    return pa.table({"id": own.column("id"), "held": own.column("held"), **{
+        c: pa.array(x.astype(np.int64) if c.startswith("n_") else x) for c, x in sums.items()}})
 
 
 def corpus_of(texts: DataFrame, text_bytes: int) -> Corpus:
@@ -302,13 +313,11 @@ def score(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text: st
             for run in pieces(texts):
                 n = len(run)
                 for b, pairs, numbers, uses, own in deal(run, np.arange(row, row + n), batch.column(1)[at:at + n], held[at:at + n], shared.value):
-                    yield pa.RecordBatch.from_pydict({"bucket": pa.array([b], pa.int32()), "pairs": [pairs], "numbers": [numbers], "uses": [uses], "docs": [own]})
+                    yield pa.RecordBatch.from_pydict({"bucket": pa.array([b], pa.int32()), "piece": pa.array([row], pa.int64()), "pairs": [pairs], "numbers": [numbers], "uses": [uses], "docs": [own]})
                 at, row = at + n, row + n
 
-    sums = rows.mapInArrow(dealt, "bucket int, pairs binary, numbers binary, uses binary, docs binary").groupBy("bucket").applyInArrow(
-        lambda table: score_bucket(table, shared.value),
-        "row long, id long, held boolean, n_tokens long, n_known long, base double, score double")
-    merged = sums.groupBy("row").agg(F.any_value("id").alias("id"), F.any_value("held").alias("held"), *(
-        F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score")))
+    sums = rows.mapInArrow(dealt, "bucket int, piece long, pairs binary, numbers binary, uses binary, docs binary").groupBy("bucket").applyInArrow(
+        lambda table: score_bucket(table, shared.value), "piece long, sums binary")
+    merged = sums.groupBy("piece").applyInArrow(sum_piece, "id long, held boolean, n_tokens long, n_known long, base double, score double")
     return merged.select("id", "held", "n_tokens", "n_known", F.lit(corpus.tokens).cast("long").alias("train_tokens"),
                          (F.col("base") - F.col("n_tokens") * corpus.constant).alias("base_score"), "score")
