@@ -9,7 +9,7 @@ Short pieces of equal tree size are merged side by side in numpy, long ones alon
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
@@ -22,7 +22,9 @@ from newsmill.llm.tables import pieces, with_struct
 
 NEVER = np.int64(1) << 60
 SIDE_BY_SIDE = 64  # bytes; longer pieces have a tree of their own
-KNOWN_PIECES = 800_000  # pieces whose ids a worker remembers; beyond, it starts anew
+KNOWN_PIECES = 200_000  # pieces whose ids a worker remembers; beyond, it starts anew
+RUN_BYTES = 1_000_000  # text that is cut into pieces at a time; a longer text is a run of its own
+AT_ONCE = 4096  # pieces merged side by side
 
 
 class Merges:
@@ -60,9 +62,11 @@ class Merges:
                 out[i] = np.array(self.encode_long(word), "<u4").tobytes()
             else:
                 sizes.setdefault(1 << (len(word) - 1).bit_length(), []).append(i)
-        for size, own in sizes.items():
-            for i, ids in zip(own, self.encode_short([words[i] for i in own], size), strict=True):
-                out[i] = ids
+        for size, all_ in sizes.items():
+            for start in range(0, len(all_), AT_ONCE):
+                own = all_[start:start + AT_ONCE]
+                for i, ids in zip(own, self.encode_short([words[i] for i in own], size), strict=True):
+                    out[i] = ids
         return out
 
     def encode_short(self, words: list[bytes], size: int) -> list[bytes]:
@@ -173,6 +177,11 @@ def encode_texts(texts: list[str], table: Merges, find, known: dict[str, bytes])
     return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
+def encoded_batch(batch: pa.Array, table: Merges, find, known: dict[str, bytes]) -> list[bytes]:
+    """The ids of each text of a batch; the texts become Python strings run by run."""
+    return [x for run in pieces((t.as_py() or "" for t in batch), RUN_BYTES) for x in encode_texts(run, table, find, known)]
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """`docs` with `token_ids`, binary: the ids as little-endian unsigned 32-bit integers.
 
@@ -184,12 +193,15 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table, find, known = merges(path), regex.compile(pattern).findall, {}
         for batch in batches:
-            ids = [x for run in pieces([t or "" for t in batch.to_pylist()]) for x in encode_texts(run, table, find, known)]
-            yield pa.StructArray.from_arrays([pa.array(ids, pa.binary())], ["token_ids"])
+            yield pa.StructArray.from_arrays([pa.array(encoded_batch(batch, table, find, known), pa.binary())], ["token_ids"])
 
     return with_struct(docs, encoded.asNondeterministic()(F.col(f"`{text}`")), "token_ids")
 
 
+def decoded_batch(ids: Iterable[bytes], of) -> list[bytes]:
+    return [b"".join(map(of, np.frombuffer(x, "<u4").tolist())) for x in ids]
+
+
 def decode(encoded: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
     """`encoded` with `decoded`, binary: the bytes that the ids stand for; NULL ids decode to no bytes."""
 
@@ -197,7 +209,21 @@ def decode(encoded: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         of = merges(path).bytes_of.__getitem__
         for batch in batches:
-            made = [b"".join(map(of, np.frombuffer(x or b"", "<u4").tolist())) for x in batch.to_pylist()]
+            made = decoded_batch((x.as_py() or b"" for x in batch), of)
             yield pa.StructArray.from_arrays([pa.array(made, pa.binary())], ["decoded"])
 
     return with_struct(encoded, decoded.asNondeterministic()(F.col(f"`{ids}`")), "decoded")
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+    """`docs` with `token_ids` as of `encode` and `decoded` as of `decode`, by one worker for each task instead of two."""
+
+    @F.arrow_udf("struct<token_ids: binary, decoded: binary>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table, find, known = merges(path), regex.compile(pattern).findall, {}
+        for batch in batches:
+            ids = encoded_batch(batch, table, find, known)
+            back = decoded_batch(ids, table.bytes_of.__getitem__)
+            yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(back, pa.binary())], ["token_ids", "decoded"])
+
+    return with_struct(docs, both.asNondeterministic()(F.col(f"`{text}`")), "token_ids", "decoded")

@@ -59,7 +59,7 @@ def viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = byte_bpe.decode(byte_bpe.encode(docs, RANKS, public_tokenizers.PATTERN).select("doc_id", "token_ids"), RANKS)
+    ids = byte_bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN)
     return ids.select("doc_id", F.expr("octet_length(token_ids) div 4").cast("long").alias("n_tokens"),
                       F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,7 +36,7 @@ def with_struct(df: DataFrame, made: Column, *fields: str) -> DataFrame:
         *others(df, *fields, "_made"), *(F.col(f"_made.{x}").alias(x) for x in fields))
 
 
-def pieces(texts: list, most: int = PIECE_BYTES) -> Iterator[list]:
+def pieces(texts: Iterable, most: int = PIECE_BYTES) -> Iterator[list]:
     """`texts` in runs of about `most` bytes."""
     run, size = [], 0
     for text in texts:
