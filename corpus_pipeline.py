@@ -45,9 +45,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of the texts as little-endian unsigned 32-bit integers, their number and digest; `exact` says that they decode to the text."""
-    encoded = byte_bpe.encode(docs.select("doc_id", "text"), RANKS, public_tokenizers.PATTERN)
-    decoded = byte_bpe.decode(encoded, RANKS)
-    return decoded.select(
+    coded = byte_bpe.round_trip(docs.select("doc_id", "text"), RANKS, public_tokenizers.PATTERN)
+    return coded.select(
         "doc_id", "token_ids", F.expr("octet_length(token_ids) div 4").cast("long").alias("n_tokens"), F.sha2("token_ids", 256).alias("ids_sha256"),
         (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("exact"))
 
