@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from brute import BASE8, encoding, fold, lower, luhn, op1, op2, op4, op5, op8, op9, sha
 
-from newsmill.llm import queries
+from newsmill.llm import byte_bpe, queries
 
 SMALL = "/root/testdata/sf0.001"
 EDGES = [
@@ -120,6 +120,15 @@ def test_op7(spark, folder):
     assert rows_of(spark, folder, "op7_segment_tree_bpe", ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]) == ordered(want)
 
 
+def test_op7_apart_and_together(spark, edge_dir):
+    docs = spark.read.parquet(f"{edge_dir}/documents.parquet").select("doc_id", "text")
+    pattern = queries.public_tokenizers.PATTERN
+    apart = byte_bpe.decode(byte_bpe.encode(docs, queries.RANKS, pattern), queries.RANKS)
+    together = byte_bpe.round_trip(docs, queries.RANKS, pattern)
+    assert apart.columns == together.columns
+    assert ordered(map(tuple, apart.collect())) == ordered(map(tuple, together.collect()))
+
+
 def test_op8(spark, folder):
     want = {}
     for d, t in docs_of(spark, folder):
