@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from newsmill.functions.columns import computed_once
 from newsmill.functions.lexicon import SearchTerm
 from newsmill.functions.patterns import folds_unusually, phrase_pattern, portable, sql_text
+from newsmill.functions.urls import is_marked_article
+from newsmill.operators.links import page_links
 from newsmill.operators.ordering import first_n
 
 # Fixed value: default cap of both searches.
@@ -61,6 +63,26 @@ def search(
     return first_n(found, newest, max(max_results, 1))
 
 
+def search_listing(
+    result_pages: DataFrame, base: Column, max_results: int | None = MAX_RESULTS, page_ord: str = "page_ord",
+) -> DataFrame:
+    """Article URLs of stored result pages (`page_ord`, html) in page order: (url, page_ord, pos).
+
+    Links that look like articles become absolute under `base`; of repeated URLs
+    the first one counts, and the list is cut after `max_results`.
+    """
+    links = page_links(result_pages, [page_ord], base=base)
+    listed = links.filter(is_marked_article(F.col("href")) & F.col("full_url").isNotNull())
+    found = (
+        listed.groupBy(F.col("full_url").alias("url"))
+        .agg(F.min(F.struct(F.col(page_ord), F.col("pos"))).alias("_first"))
+        .select("url", f"_first.{page_ord}", "_first.pos")
+    )
+    if max_results is None:
+        return found
+    return first_n(found, [F.col(page_ord), F.col("pos")], max(max_results, 1))
+
+
 def first_terms(articles: DataFrame, text: Column, terms: Sequence[SearchTerm]) -> DataFrame:
     """Every matching URL with the order number of the first term that finds it."""
     tests = ", ".join(f"CASE WHEN {_has_term(t.phrases)} THEN {i} END" for i, t in enumerate(terms))

@@ -49,6 +49,20 @@ def test_phrases(spark):
                    texts[4]: '"heat stroke"', texts[5]: '"body found" heat', texts[6]: "hyperthermia"}
 
 
+def test_search_listing_in_page_order(spark):
+    """Links in page order, the first of equal URLs, other links passed over, cut at the end."""
+    rows = spark.createDataFrame([
+        (2, '<a href="/n/article_3.html"><a href="/n/article_1.html">'),
+        (1, '<a href="/n/article_2.html"><a href="about.html"><a href="https://x.org/article_1.html"><a href="/n/article_1.html">'
+            '<a href="/n/article_2.html"><a href="ftp/article_9.html"><a href="/n/article_x">'),
+        (3, None)], "page_ord int, html string")
+    want = ["s/n/article_2.html", "https://x.org/article_1.html", "s/n/article_1.html", "s/n/article_3.html"]
+    base = F.lit("s")
+    assert [r.url for r in find.search_listing(rows, base).orderBy("page_ord", "pos").collect()] == want
+    assert [r.url for r in find.search_listing(rows, base, 2).collect()] == want[:2]
+    assert {r.url for r in find.search_listing(rows, base, None).collect()} == set(want)
+
+
 def test_capped_search(spark):
     day = dt.date(2024, 7, 1)
     rows = spark.createDataFrame(

@@ -195,6 +195,27 @@ def default_term_search(spark, folder):
     return find.priority_search(found, term_table(spark, SEARCH_TERMS))
 
 
+# Every page acts as a result page; the paths of its links get the marker and the ending of articles.
+_MARKED_HTML = """(href=")(https?://[^/"]+)?(/[^"]*)(")"""
+
+
+@query("search_listing", sql(PAGES_SQL, LINKS_SQL, """marked AS (
+  SELECT page_id, pos, CASE WHEN regexp_matches(href, '^(https?://[^/]+)?/') THEN regexp_replace(href, '^(https?://[^/]+)?(/.*)$', '\\1\\2/article_x.html', 's')
+                            ELSE href END AS href FROM links),
+absolute AS (
+  SELECT page_id, pos, CASE WHEN starts_with(href, '/') THEN 'https://www.ivpressonline.com' || href
+                            WHEN starts_with(href, 'http') THEN href END AS url
+  FROM marked WHERE contains(href, 'article_') AND contains(href, '.html')),
+listed AS (
+  SELECT url, page_id, pos, row_number() OVER (PARTITION BY url ORDER BY page_id, pos) AS k FROM absolute WHERE url IS NOT NULL)""",
+    select="""
+SELECT url, page_id, CAST(pos AS INTEGER) AS pos FROM listed WHERE k = 1 ORDER BY page_id, pos LIMIT 50"""))
+def search_listing(spark, folder):
+    html = F.regexp_replace("html", _MARKED_HTML, "$1$2$3/article_x.html$4")
+    results = pages(spark, folder).select("page_id", html.alias("html"))
+    return find.search_listing(results, F.lit("https://www.ivpressonline.com"), page_ord="page_id")
+
+
 _ANY = (("heat", "of"), ("from the",), ("worthless",))
 
 
