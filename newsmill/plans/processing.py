@@ -13,11 +13,14 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsmill.functions.lexicon import Lexicon
 from newsmill.functions.scoring import DEFAULT_THRESHOLD, full_text, match_list, score_text
 from newsmill.functions.urls import url_hash
-from newsmill.operators.articles import ERROR_MESSAGE, ERROR_TYPE, is_extracted, parse_pages
+from newsmill.operators.articles import (
+    ERROR_MESSAGE, ERROR_TYPE, author_list, is_extracted, parse_pages, publish_day,
+)
 from newsmill.operators.counters import ERROR, SAVED, session_stats, with_outcome
 from newsmill.operators.matching import match_rows
 from newsmill.operators.ordering import first_per_key, narrowed_to
@@ -88,17 +91,25 @@ def evaluate(
 
 
 def article_rows(outcomes: DataFrame, run_time: Column) -> DataFrame:
-    """Store rows of the saved candidates."""
+    """Store rows of the saved candidates.
+
+    `authors` may be an array of names or a text, `published_date` a time or a
+    day, as the pages table had them.
+    """
     have = set(outcomes.columns)
 
     def optional(name: str, kind: str) -> Column:
         return F.col(name) if name in have else F.lit(None).cast(kind)
 
+    authors = optional("authors", "string")
+    if "authors" in have and isinstance(outcomes.schema["authors"].dataType, T.ArrayType):
+        authors = author_list(authors)
+
     return outcomes.filter(F.col("outcome") == SAVED).select(
         "source", optional("source_bias", "string").alias("source_bias"),
         optional("language", "string").alias("language"), "url", "url_hash", "title",
-        optional("authors", "string").alias("authors"),
-        optional("published_date", "date").cast("date").alias("published_date"),
+        authors.alias("authors"),
+        publish_day(optional("published_date", "date")).cast("date").alias("published_date"),
         run_time.alias("scraped_date"), F.col("text").alias("text_content"),
         match_list(F.col("hits")).alias("keywords_matched"), "heat_score",
         F.col("relevance").alias("category"),

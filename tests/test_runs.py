@@ -80,6 +80,18 @@ def test_store_is_written_once_and_repeats_are_ignored(spark):
     assert again.first().outcome == "already_scraped"
 
 
+def test_authors_and_days_reach_the_store(spark):
+    root = fresh_folder(spark, "store")
+    writers.create_store(spark, root)
+    pages = spark.createDataFrame([
+        ("a/two", page("T", HEAT), ["Ann", "Bob"], dt.datetime(2024, 7, 1, 23, 59)), ("a/none", page("T", HEAT), [], None),
+        ("a/null", page("T", HEAT), None, dt.datetime(2024, 7, 2))], "url string, html string, authors array<string>, published_date timestamp")
+    out = runs.url_list_run(pages.select("url"), pages, no_store(spark))
+    processing.store_outcomes(out, root, 0, at())
+    got = {r.url: (r.authors, r.published_date) for r in writers.read_table(spark, root, "articles").collect()}
+    assert got == {"a/two": ("Ann, Bob", dt.date(2024, 7, 1)), "a/none": (None, None), "a/null": (None, dt.date(2024, 7, 2))}
+
+
 def test_catalog_tables(spark):
     root = fresh_folder(spark, "store")
     writers.create_store(spark, root)

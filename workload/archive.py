@@ -102,6 +102,18 @@ def capture_index(spark, folder):
     return readers.parse_capture_index(answers)
 
 
+@query("capture_index_rows", """
+SELECT 'https://news.example.org/s/' || user_id AS url,
+       unnest([strftime(ts, '%Y%m%d%H%M%S'), strftime(ts, '%Y%m%d') || '000000']) AS ts FROM events""")
+def capture_index_rows(spark, folder):
+    """Every event as an answer of a header, a row, an empty row and a longer row."""
+    ts, day = F.date_format("ts", "yyyyMMddHHmmss"), F.date_format("ts", "yyyyMMdd'000000'")
+    rows = F.array(F.array(F.lit("timestamp")), F.array(ts), F.array().cast("array<string>"), F.array(day, F.lit("200")))
+    answers = table(spark, folder, "events").select(
+        F.concat(F.lit("https://news.example.org/s/"), F.col("user_id")).alias("url"), F.to_json(rows).alias("value"))
+    return readers.parse_capture_index(answers)
+
+
 # Every page acts as a captured listing; its links get the marker of the site.
 _FOUND = """marked AS (
   SELECT CAST(page_id AS BIGINT) AS capture_ord, '/web/20240701120000/https://ivpressonline.com/article_' || ltrim(href, '/') || '.html' AS href
