@@ -11,6 +11,8 @@ from newsmill.llm import (
     candidate_pii,
     chosen_path,
     fertility,
+    learned_partitions,
+    pivot_clusters,
     positional_index,
     quotation_links,
     string_kernel,
@@ -86,6 +88,40 @@ def quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select("conv_id", "turn", "role", "formatted", "n_quoted", "n_linked", "reply_to", "root", "depth", F.array_join(F.transform("path", lambda x: x.cast("string")), "/").alias("path"))
 
 
+CENTROID_COLUMNS = "vec_id long, cluster int, distance long, cluster_inertia long, inertia long, centroid_sha256 string"
+
+
+def pivot_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pivot_clusters.cluster(
+        read(spark, sf_dir, "embeddings"), order=lambda x: F.sha2(F.concat(F.lit("3:"), x.cast("string")).cast("binary"), 256))
+    if found is None:
+        return spark.createDataFrame([], CENTROID_COLUMNS)
+    return pivot_clusters.with_statistics(found).select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def learned_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return learned_partitions.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def pivot_table_sql(rounds: int = 10, k: int = 8) -> str:
+    """The rounds as one chain of tables: components (vec_id, pos, x) and centroids (c, pos, x)."""
+    steps = ["""kept AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+             "parts AS MATERIALIZED (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM kept)",
+             f"""firsts AS (SELECT vec_id, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c FROM kept QUALIFY c < {k}),
+c0 AS MATERIALIZED (SELECT c, pos, x FROM firsts JOIN parts USING (vec_id))"""]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT vec_id, arg_min(c, (d, c)) AS cluster, min(d) AS distance FROM (
+  SELECT vec_id, c, CAST(sum((p.x - m.x) * (p.x - m.x)) AS BIGINT) AS d FROM parts p JOIN c{i} m USING (pos) GROUP BY vec_id, c) GROUP BY vec_id)""")
+        if i < rounds:
+            steps.append(f"""s{i} AS (SELECT cluster AS c, pos, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM parts JOIN a{i} USING (vec_id) GROUP BY cluster, pos),
+c{i + 1} AS MATERIALIZED (SELECT c, pos, COALESCE((s - ((s % n) + n) % n) // n, o.x) AS x FROM c{i} o LEFT JOIN s{i} USING (c, pos))""")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, digest AS centroid_sha256
+FROM a{rounds} JOIN (SELECT c AS cluster, sha256(string_agg(x, ',' ORDER BY pos)) AS digest FROM c{rounds} GROUP BY c) USING (cluster)"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -96,6 +132,6 @@ QUERIES = {
     "op1_suffix_array": suffix_array, "op2_tokeniser_fertility": tokeniser_fertility, "op3_subsequence_kernel": subsequence_kernel,
     "op4_elias_fano_trie": elias_fano_trie, "op5_positional_index": positional_index_hits, "op6_viterbi_counts": viterbi,
     "op7_segment_tree_bpe": segment_tree_bpe, "op8_boosted_pii": boosted_pii, "op9_chosen_path": chosen_path_join,
-    "op10_quotation_links": quotations, "pipeline": pipeline,
+    "op10_quotation_links": quotations, "op11_pivot_table": pivot_table, "op13_learned_partitions": learned_parts, "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_pivot_table": pivot_table_sql()}

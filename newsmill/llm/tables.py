@@ -21,7 +21,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written as Parquet below the shared folder and read again, so that lost executors cost no recomputation."""
     folder = fresh_folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    table = df.sparkSession.read.schema(df.schema).parquet(folder)
+    table.stored_in = folder
+    return table
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes what `stored` wrote; nothing may read these tables any more."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table.stored_in)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def others(df: DataFrame, *outputs: str) -> list[Column]:
