@@ -164,7 +164,7 @@ def fit(sample: np.ndarray, rows: int, n: int, recall: float) -> Router:
 
 def usable(vectors: DataFrame, id_: str, vector: str, query: Column) -> DataFrame:
     """(id, vec, query, k1, k2) of the rows that take part; k1, k2 are 128 bits of the vector's hash."""
-    v = F.transform(F.col(f"`{vector}`"), lambda x: x.cast("double"))
+    v = F.col(f"`{vector}`").cast("array<float>" if vectors.schema[vector].dataType.simpleString() == "array<float>" else "array<double>")
     fine = F.forall("vec", lambda x: x.isNotNull() & (F.abs(x) < F.lit(float("inf")))) & F.exists("vec", lambda x: x != 0.0)
     rows = vectors.select(F.col(f"`{id_}`").alias("id"), v.alias("vec"), F.coalesce(query, F.lit(False)).alias("query")).filter(F.col("id").isNotNull() & fine)
     size = rows.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), "n").first()
@@ -258,8 +258,8 @@ def search(vectors: DataFrame, query: Column, id_: str = "vec_id", vector: str =
     # A marked row may lie beyond the smallest ids, so the marks come from the rows.
     asked = rows.filter("query").groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("askers"))
     total = distinct.count()
-    sample = np.array([r[0] for r in distinct.orderBy("k1", "k2").limit(SAMPLE).select("vec").collect()], np.float64)
-    router = fit(sample, total, n, recall) if total else Router((), 1.0, 1)
+    sample = distinct.orderBy("k1", "k2").limit(SAMPLE).select("vec").toArrow()["vec"]
+    router = fit(matrix(sample), total, n, recall) if total else Router((), 1.0, 1)
     filed = stored(filed_under(distinct.drop("query"), router), "filed-vectors")
     forget(distinct)
     visits = stored(filed.join(asked, ["k1", "k2"], "left_semi").select("k1", "k2", "vec", F.explode("visits").alias("part")), "visits")

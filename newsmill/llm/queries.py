@@ -19,10 +19,12 @@ from newsmill.llm import (
     suffix_dedup,
     trie_lm,
     viterbi_counts,
+    window_alignment,
 )
 from newsmill.llm.tables import fold, read, stored
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+MERGES = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -88,6 +90,11 @@ def quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select("conv_id", "turn", "role", "formatted", "n_quoted", "n_linked", "reply_to", "root", "depth", F.array_join(F.transform("path", lambda x: x.cast("string")), "/").alias("path"))
 
 
+def anchor_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return window_alignment.align(docs, MERGES, public_tokenizers.PATTERN, PIECES)[0]
+
+
 CENTROID_COLUMNS = "vec_id long, cluster int, distance long, cluster_inertia long, inertia long, centroid_sha256 string"
 
 
@@ -132,6 +139,7 @@ QUERIES = {
     "op1_suffix_array": suffix_array, "op2_tokeniser_fertility": tokeniser_fertility, "op3_subsequence_kernel": subsequence_kernel,
     "op4_elias_fano_trie": elias_fano_trie, "op5_positional_index": positional_index_hits, "op6_viterbi_counts": viterbi,
     "op7_segment_tree_bpe": segment_tree_bpe, "op8_boosted_pii": boosted_pii, "op9_chosen_path": chosen_path_join,
-    "op10_quotation_links": quotations, "op11_pivot_table": pivot_table, "op13_learned_partitions": learned_parts, "pipeline": pipeline,
+    "op10_quotation_links": quotations, "op11_pivot_table": pivot_table, "op12_anchor_windows": anchor_windows,
+    "op13_learned_partitions": learned_parts, "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {"op11_pivot_table": pivot_table_sql()}
