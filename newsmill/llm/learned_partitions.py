@@ -28,6 +28,7 @@ SAMPLE = 8_192  # distinct vectors of the smallest hashes; graph, parts and netw
 KEPT_OUT = 768  # of the sample, at most an eighth: only for the share of probability to visit
 PART_ROWS = 4_096
 FEWEST_PARTS, MOST_PARTS = 8, 128
+LEAST_FOR_A_PART = 64  # points; with fewer there is one part, which all queries visit
 GRAPH_DEGREE = 12
 HIDDEN = 96
 STEPS = 1_200
@@ -147,7 +148,7 @@ def fit(sample: np.ndarray, rows: int, n: int, recall: float) -> Router:
     parts = int(np.clip(rows // PART_ROWS, FEWEST_PARTS, MOST_PARTS))
     out = min(KEPT_OUT, len(sample) // 8)
     held, points = sample[:out], sample[out:]
-    if len(points) < 8 * parts:
+    if len(points) < LEAST_FOR_A_PART * parts:
         return Router((), 1.0, 1)
     graph = top_neighbours(points, points, min(GRAPH_DEGREE, len(points) - 1), np.arange(len(points)))
     label = balanced_parts(points, graph, parts)
