@@ -60,8 +60,8 @@ def author_list(authors: Column) -> Column:
 
 
 def publish_day(published: Column) -> Column:
-    """Day of a publication time as `yyyy-MM-dd`, NULL if unknown."""
-    return F.date_format(published, "yyyy-MM-dd")
+    """Day of a publication time, or of a text that starts like one, as `yyyy-MM-dd`; NULL if unknown or unreadable."""
+    return F.date_format(published.try_cast("timestamp_ntz"), "yyyy-MM-dd")
 
 
 def article_records(

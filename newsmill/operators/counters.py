@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsmill.functions.scoring import DEFAULT_THRESHOLD, keep
@@ -51,16 +51,12 @@ def _times(outcome: Column, copies: Column | None, *names: str) -> Column:
     return F.coalesce(F.sum(F.when(outcome.isin(*names), weight)), F.lit(0))
 
 
-def run_counters(outcomes: DataFrame, copies: str | None = None) -> DataFrame:
-    """One row: total, processed and the number of each outcome, plus the hit rate.
-
-    `copies` names a column telling how often a URL was listed: the first copy
-    has the row's outcome, and the later copies of a saved one are already stored.
-    """
+def counter_columns(copies: str | None = None) -> list[Column]:
+    """The counters of a run as aggregates, to be collected or observed while the outcomes are written."""
     outcome = F.col("outcome")
     n = None if copies is None else F.col(copies)
     repeats = F.lit(0) if n is None else F.coalesce(F.sum(F.when(outcome == SAVED, n - 1)), F.lit(0))
-    return outcomes.agg(
+    return [
         (F.count(F.lit(1)) if n is None else F.coalesce(F.sum(n), F.lit(0))).cast("bigint").alias("total"),
         (_times(outcome, n, LOW) + _times(outcome, None, SAVED)).cast("bigint").alias("processed"),
         (_times(outcome, n, ALREADY) + repeats).cast("bigint").alias(ALREADY),
@@ -68,7 +64,25 @@ def run_counters(outcomes: DataFrame, copies: str | None = None) -> DataFrame:
         _times(outcome, n, LOW).cast("bigint").alias(LOW),
         _times(outcome, n, ERROR).cast("bigint").alias(ERROR),
         _times(outcome, n, NO_ARCHIVE).cast("bigint").alias(NO_ARCHIVE),
-    ).withColumn("hit_rate", hit_rate(F.col(SAVED), F.col("processed")))
+    ]
+
+
+def run_counters(outcomes: DataFrame, copies: str | None = None) -> DataFrame:
+    """One row: total, processed and the number of each outcome, plus the hit rate.
+
+    `copies` names a column telling how often a URL was listed: the first copy
+    has the row's outcome, and the later copies of a saved one are already stored.
+    """
+    return outcomes.agg(*counter_columns(copies)).withColumn("hit_rate", hit_rate(F.col(SAVED), F.col("processed")))
+
+
+COUNTERS = f"total long, processed long, {ALREADY} long, {SAVED} long, {LOW} long, {ERROR} long, {NO_ARCHIVE} long"
+
+
+def counted(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """Observed counters as the row that :func:`run_counters` gives."""
+    row = spark.createDataFrame([tuple(counts[f.split()[0]] for f in COUNTERS.split(", "))], COUNTERS)
+    return row.withColumn("hit_rate", hit_rate(F.col(SAVED), F.col("processed")))
 
 
 def hit_rate(saved: Column, processed: Column) -> Column:

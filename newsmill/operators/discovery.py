@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from newsmill.functions.urls import STRICT_RULES, UrlRules, is_article, url_date
 from newsmill.operators.links import page_links
-from newsmill.operators.ordering import FILTER_VALUES, first_n, first_n_per_group
+from newsmill.operators.keyfilter import key_filter, passing
+from newsmill.operators.ordering import FILTER_VALUES, first_n, first_n_per_group, key_list_size
 from newsmill.session import cut_lineage
 
 # Default caps.
@@ -30,8 +31,11 @@ def section_pages(pages: DataFrame, sources: DataFrame) -> DataFrame:
     listed = sources.select("source", "base", "section_ord", F.col("section_url").alias("url"))
     few = [row.url for row in listed.select("url").distinct().limit(FILTER_VALUES + 1).collect()]
     if len(few) <= FILTER_VALUES:  # the filter reaches the scan and skips row groups
-        pages = pages.filter(F.col("url").isin(few))
-    return pages.join(listed, "url")
+        return pages.filter(F.col("url").isin(few)).join(listed, "url")
+    n, small = key_list_size(listed, ["source", "base", "url"])
+    if small:
+        return pages.join(F.broadcast(listed), "url")
+    return passing(pages, key_filter(listed, ["url"], n)).join(listed, "url")
 
 
 def section_links(listing: DataFrame, rules: UrlRules = STRICT_RULES) -> DataFrame:

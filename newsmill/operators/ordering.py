@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsmill.operators.keyfilter import key_filter, passing
 from newsmill.session import cut_lineage
 
 # Above this many rows a limit would gather too much in one task.
@@ -53,18 +54,27 @@ def first_n_per_group(
     )
 
 
-def narrowed_to(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+def key_list_size(keys: DataFrame, on: list[str]) -> tuple[int, bool]:
+    """Rows of a fixed (written) list of text keys, and whether it may be broadcast."""
+    size = F.coalesce(F.sum(sum(F.octet_length(F.col(c)) for c in on)), F.lit(0))
+    n, in_bytes = keys.agg(F.count(F.lit(1)), size).first()
+    return n, n <= BROADCAST_KEYS and in_bytes <= BROADCAST_BYTES
+
+
+def narrowed_to(df: DataFrame, keys: DataFrame, on: list[str], wide: bool = False) -> DataFrame:
     """Semi-join of `df` with a fixed (written) list of text keys, by the size of the list.
 
     A few keys also become a filter on the first column, which reaches the scan
     and skips row groups; up to some more are broadcast, so `df` is not shuffled;
-    a longer list joins like any table.
+    a longer list joins like any table.  Rows that are too large to be shuffled
+    are called `wide`: a longer list then becomes a Bloom filter in the scan, which
+    lets a few other rows pass, so the caller has to join with the list later.
     """
-    size = F.coalesce(F.sum(sum(F.octet_length(F.col(c)) for c in on)), F.lit(0))
-    n, in_bytes = keys.agg(F.count(F.lit(1)), size).first()
-    small = n <= BROADCAST_KEYS and in_bytes <= BROADCAST_BYTES
+    n, small = key_list_size(keys, on)
     if n <= FILTER_VALUES and small:
         df = df.filter(F.col(on[0]).isin([row[0] for row in keys.select(on[0]).collect()]))
+    if wide and not small:
+        return passing(df, key_filter(keys, on, n))
     return df.join(F.broadcast(keys) if small else keys, on, "left_semi")
 
 

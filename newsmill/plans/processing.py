@@ -3,15 +3,15 @@
 The candidate list, which is narrow, is fixed and checked against the store
 first.  Pages are cut down to the ones a new candidate asks for before anything
 is parsed: a short list even reaches the scan as a filter, a medium one is
-broadcast, so the HTML is shuffled only for a list too long for both.
-Everything after that is partitioned by the URL hash once.
+broadcast, a long one is a Bloom filter.  So HTML is never shuffled; the parsed
+text is, once, by the URL hash, where it meets its candidates exactly.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,13 +21,16 @@ from newsmill.functions.urls import url_hash
 from newsmill.operators.articles import (
     ERROR_MESSAGE, ERROR_TYPE, author_list, is_extracted, parse_pages, publish_day,
 )
-from newsmill.operators.counters import ERROR, SAVED, session_stats, with_outcome
+from newsmill.operators.counters import ERROR, SAVED, counter_columns, session_stats, with_outcome
 from newsmill.operators.matching import match_rows
-from newsmill.operators.ordering import first_per_key, narrowed_to
-from newsmill.session import cut_lineage
+from newsmill.operators.ordering import first_per_key, key_list_size, narrowed_to
+from newsmill.session import cut_lineage, staged
 from newsmill.sources.writers import BATCH, read_table, write_batch
 
 
+CONTENT = ("title", "text", "authors", "published_date")
+
+
 def candidates_of_list(urls: DataFrame) -> DataFrame:
     """A URL list as candidates: distinct URLs with the number of `copies`.
 
@@ -43,6 +46,7 @@ def evaluate(
     extract: Callable[[DataFrame], DataFrame] | None = parse_pages,
     page_keys: tuple[str, ...] = (),
     unique_pages: bool = False,
+    version: str | None = None,
     threshold: float | None = DEFAULT_THRESHOLD,
     language: str | None = None,
     by_language: dict[str, Lexicon] | None = None,
@@ -54,8 +58,9 @@ def evaluate(
     `candidates` have `url`, and `seq` (run order) if a URL can occur more than
     once; any further columns are kept.  `pages` have `url` and what `extract`
     turns into `title` and `text` (pass None for tables that hold both); of
-    several pages of one URL one is taken, unless `unique_pages` promises that
-    there is only one.
+    several pages of one URL the one with the largest `version` (a column of the
+    pages) is taken, the one with the smallest hash of its content if there are more
+    or no such column is named; `unique_pages` promises that there is only one.
     `page_keys` name further columns that candidate and page must agree in (the
     capture time).
     With `captured` among the candidate columns, rows where it is false are
@@ -68,28 +73,61 @@ def evaluate(
     marked = cut_lineage(
         keyed.join(seen.withColumn("already", F.lit(True)), "url_hash", "left").na.fill(False, ["already"]))
 
-    keys = ["url", *page_keys]
+    keys, exact = ["url", *page_keys], ["url_hash", *page_keys]
     wanted = marked.filter("NOT already").select(*keys)
-    content = (
-        narrowed_to(pages, wanted, keys)
-        .withColumn("url_hash", url_hash(F.col("url"))).drop(*keys)
-    )
+    content = narrowed_to(pages, wanted, keys, wide=True).withColumn("url_hash", url_hash(F.col("url"))).drop("url")
     parsed = content if extract is None else extract(content)
-    have = [c for c in ("title", "text", "authors", "published_date") if c in parsed.columns]
-    found = parsed.select("url_hash", *have)
+    have = [c for c in CONTENT if c in parsed.columns]
+    order = [] if version is None else [version]
+    found = parsed.select(*exact, *have, *(F.col(version).alias("_version") for version in order))
     if not unique_pages:
-        found = first_per_key(found, ["url_hash"], [F.xxhash64("title", "text")])
-    articles = marked.join(found, "url_hash", "left")
+        found = first_per_key(found, exact, [*(F.desc("_version") for _ in order), F.xxhash64(*have)])
+    # A long list lets other pages pass: they meet no candidate here, or one that is stored and asks for nothing.
+    joined = marked.join(found.drop("_version"), exact, "left")
+    articles = joined.withColumns({c: F.when(~F.col("already"), F.col(c)) for c in have})
     usable = F.col("text").isNotNull() if extract is None else is_extracted(F.col("title"), F.col("text"), least_body)
-    articles = articles.withColumn("extracted", usable)
-    body = F.when(F.col("extracted"), full_text(F.col("title"), F.col("text")))
-    scored = score_text(
-        articles, F.coalesce(body, F.lit("")),
-        None if language is None else F.col(language), by_language, otherwise,
-    )
+    scored = _scored(articles.withColumn("extracted", usable), language, by_language, otherwise)
     return with_outcome(scored, threshold, "seq" if "seq" in candidates.columns else None)
 
 
+def _scored(articles: DataFrame, language: str | None, by_language: dict[str, Lexicon] | None, otherwise: Lexicon | None) -> DataFrame:
+    body = F.when(F.col("extracted"), full_text(F.col("title"), F.col("text")))
+    return score_text(articles, F.coalesce(body, F.lit("")), None if language is None else F.col(language), by_language, otherwise)
+
+
+def evaluate_pages(
+    pages: DataFrame,
+    stored: DataFrame,
+    extract: Callable[[DataFrame], DataFrame] | None = parse_pages,
+    version: str | None = None,
+    threshold: float | None = DEFAULT_THRESHOLD,
+    language: str | None = None,
+    by_language: dict[str, Lexicon] | None = None,
+    otherwise: Lexicon | None = None,
+    least_body: int = 0,
+) -> DataFrame:
+    """Like :func:`evaluate` for pages that are candidates themselves, so that nothing is looked up: one row for each URL.
+
+    `pages` have `url`, `source` and further candidate columns beside the content.  Pages that are stored already are not
+    parsed unless they are too many for a broadcast; only text is shuffled, by the URL hash.
+    """
+    keyed = pages.withColumn("url_hash", url_hash(F.col("url")))
+    hashes = cut_lineage(keyed.select("url_hash").distinct())
+    seen = cut_lineage(narrowed_to(stored.select("url_hash"), hashes, ["url_hash"]).distinct().withColumn("already", F.lit(True)))
+    _, small = key_list_size(seen, ["url_hash"])
+    if small:
+        keyed = keyed.join(F.broadcast(seen), "url_hash", "left").na.fill(False, ["already"])
+        if "html" in keyed.columns:
+            keyed = keyed.withColumn("html", F.when(~F.col("already"), F.col("html")))
+    parsed = keyed if extract is None else extract(keyed)
+    have = [c for c in CONTENT if c in parsed.columns]
+    one = first_per_key(parsed, ["url_hash"], [*([] if version is None else [F.desc(version)]), F.xxhash64(*have)])
+    if not small:
+        one = one.join(seen, "url_hash", "left").na.fill(False, ["already"])
+    usable = F.col("text").isNotNull() if extract is None else is_extracted(F.col("title"), F.col("text"), least_body)
+    return with_outcome(_scored(one.withColumn("extracted", usable & ~F.col("already")), language, by_language, otherwise), threshold)
+
+
 def article_rows(outcomes: DataFrame, run_time: Column) -> DataFrame:
     """Store rows of the saved candidates.
 
@@ -134,21 +172,24 @@ def stored_before(spark, root: str, batch_id: int | str) -> DataFrame:
 def store_outcomes(
     outcomes: DataFrame, root: str, batch_id: int | str, run_time: Column,
     sources: DataFrame | None = None, database: str | None = None,
-) -> DataFrame:
-    """Write one batch: matches, errors, sessions, then articles; returns the fixed outcomes.
+) -> dict[str, int]:
+    """Write one batch: matches, errors, sessions, then articles; returns the counters of the run.
 
     `batch_id` must be the batch's own, see :func:`newsmill.sources.writers.batch_name`: an equal one is replaced.
     With `database` the batch also becomes visible in the catalog tables there.
 
-    The outcomes are written once to the shared folder first, so the tables
-    agree and nothing is extracted or scored twice.
+    The outcomes are staged once as columns, so the tables agree, nothing is extracted or scored twice, and each table
+    reads its own columns only; the staging folder is removed at the end.  The counters are observed in that pass
+    (see :func:`newsmill.operators.counters.counted`); `copies` counts how often a URL was listed, as in `run_counters`.
     """
-    fixed = cut_lineage(outcomes)
-    saved = fixed.filter(F.col("outcome") == SAVED)
-    write_batch(match_rows(saved), root, "keyword_matches", batch_id, database)
-    write_batch(run_errors(fixed, run_time), root, "error_log", batch_id, database)
-    if sources is not None:
-        write_batch(session_stats(fixed, sources, run_time, F.current_timestamp()),
-                    root, "scrape_sessions", batch_id, database)
-    write_batch(article_rows(fixed, run_time), root, "articles", batch_id, database)
-    return fixed
+    counts = Observation()
+    observed = outcomes.observe(counts, *counter_columns("copies" if "copies" in outcomes.columns else None))
+    with staged(observed, "outcomes") as fixed:
+        saved = fixed.filter(F.col("outcome") == SAVED)
+        write_batch(match_rows(saved), root, "keyword_matches", batch_id, database)
+        write_batch(run_errors(fixed, run_time), root, "error_log", batch_id, database)
+        if sources is not None:
+            write_batch(session_stats(fixed, sources, run_time, F.current_timestamp()),
+                        root, "scrape_sessions", batch_id, database)
+        write_batch(article_rows(fixed, run_time), root, "articles", batch_id, database)
+    return counts.get

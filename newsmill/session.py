@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +46,32 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """The Hadoop file system of a path, and the path as its own object."""
+    context = spark.sparkContext
+    at = context._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(context._jsc.hadoopConfiguration()), at
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    system, at = file_system(spark, path)
+    system.delete(at, True)
+
+
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """`df` written once as parquet below the shared folder; what reads it reads its own columns only.
+
+    The folder is removed at the end, after a failure too.
+    """
+    spark, folder = df.sparkSession, fresh_folder(df.sparkSession, name)
+    try:
+        df.write.parquet(folder)
+        yield spark.read.schema(df.schema).parquet(folder)
+    finally:
+        remove_folder(spark, folder)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """`df` written once to the shared folder and read back from there."""
     context = df.sparkSession.sparkContext

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from newsmill.plans.processing import evaluate, store_outcomes, stored_before
+from newsmill.plans.processing import evaluate_pages, store_outcomes, stored_before
 from newsmill.schemas import PAGES
 from newsmill.sources.readers import spread
 from newsmill.sources.writers import batch_name, create_store
@@ -37,9 +37,9 @@ def store_stream(
 ) -> StreamingQuery:
     """Score and store all pages available, then stop.
 
-    `candidates` gives the candidate rows (url, source, …) of a batch of
-    pages, `prepare` may adapt the pages; `options` go to
-    :func:`newsmill.plans.processing.evaluate`.
+    `candidates` adds the candidate columns (source, …) to a batch of pages or
+    leaves pages out, `prepare` may adapt the pages; `options` go to
+    :func:`newsmill.plans.processing.evaluate_pages`.
     """
     create_store(pages.sparkSession, root)
 
@@ -48,7 +48,7 @@ def store_stream(
         batch_id = batch_name(stream, number)
         ready = spread(batch if prepare is None else prepare(batch))
         stored = stored_before(batch.sparkSession, root, batch_id)
-        outcomes = evaluate(candidates(ready), ready, stored, **options)
+        outcomes = evaluate_pages(candidates(ready), stored, **options)
         store_outcomes(outcomes, root, batch_id, run_time)
 
     return (
@@ -60,5 +60,5 @@ def store_stream(
 def pages_as_candidates(source: Callable[[Column], Column]) -> Callable[[DataFrame], DataFrame]:
     """Every page of a batch is a candidate of the source its URL names."""
     def rows(batch: DataFrame) -> DataFrame:
-        return batch.select("url", source(F.col("url")).alias("source")).distinct()
+        return batch.withColumn("source", source(F.col("url")))
     return rows
