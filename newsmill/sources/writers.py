@@ -2,19 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from newsmill.operators.reports import export_rows
 from newsmill.schemas import STORE_TABLES
-
-BATCH = "batch_id"
-
-
-def table_path(root: str, table: str) -> str:
-    return f"{root.rstrip('/')}/{table}"
-
+from newsmill.sources.segments import BATCH, read_parts, settle, table_path
 
 def create_store(spark: SparkSession, root: str) -> None:
     """Create the four tables below `root` unless they exist."""
@@ -39,9 +34,8 @@ def batch_name(run: str, number: int = 0) -> str:
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A stored table with the batch id as partition column."""
-    schema = T.StructType(STORE_TABLES[table].fields + [T.StructField(BATCH, T.StringType())])
-    return spark.read.schema(schema).parquet(table_path(root, table))
+    """A stored table, recent batches and merged ones, with the batch id as a column."""
+    return reduce(DataFrame.unionByName, read_parts(spark, root, table))
 
 
 def write_batch(df: DataFrame, root: str, table: str, batch_id: int | str, database: str | None = None) -> None:
@@ -49,6 +43,7 @@ def write_batch(df: DataFrame, root: str, table: str, batch_id: int | str, datab
 
     So a batch that failed half-way, on any of the tables, is simply repeated.
     """
+    settle(df.sparkSession, root)
     columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in STORE_TABLES[table]]
     path = f"{table_path(root, table)}/{BATCH}={batch_id}"
     df.select(*columns).write.mode("overwrite").parquet(path)

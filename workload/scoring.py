@@ -9,8 +9,9 @@ from newsmill.functions import scoring
 from newsmill.functions.lexicon import ENGLISH, SPANISH, by_priority, reweighted
 from newsmill.operators import counters, matching, reports, storage
 from newsmill.plans import processing
+from newsmill.schemas import ARTICLES, STORE_TABLES
 from newsmill.session import cut_lineage, fresh_folder
-from newsmill.sources import readers, writers
+from newsmill.sources import readers, segments, writers
 from workload.inputs import (
     ARTICLES_SQL, HITS_SQL, RELEVANCE_SQL, SCORED_SQL, TEXTS_SQL, TWO_LANGUAGES, WORD_LEXICON,
     articles, lexicon_sql, sql, table, texts,
@@ -282,7 +283,7 @@ SELECT url_hash, url, source, doc_id FROM (
 WHERE k = 1 AND url_hash NOT IN (SELECT url_hash FROM known)"""))
 def new_articles(spark, folder):
     rows, known = _batch(spark, folder)
-    return storage.insert_or_ignore(rows, known, [F.col("doc_id")]).select(
+    return storage.insert_or_ignore(rows, known, order=[F.col("doc_id")]).select(
         "url_hash", "url", "source", "doc_id")
 
 
@@ -293,6 +294,23 @@ def unseen_urls(spark, folder):
     return storage.unseen(rows, known).select("doc_id", "url_hash")
 
 
+@query("unseen_in_segments", ORACLES["unseen_urls"])
+def unseen_in_segments(spark, folder):
+    """The same over a store whose batches were merged into bucketed segments."""
+    rows, known = _batch(spark, folder)
+    root = fresh_folder(spark, "store")
+    writers.create_store(spark, root)
+    have = {f.name: f.dataType for f in ARTICLES}
+    articles = cut_lineage(known.select(*(F.col(c) if c == "url_hash" else F.lit("").alias(c) if c in ("url", "source") else F.lit(None).cast(t).alias(c)
+                                          for c, t in have.items())))
+    for number in range(5):
+        part = articles.filter(F.pmod(F.xxhash64("url_hash"), F.lit(5)) == number)
+        for name in STORE_TABLES:
+            writers.write_batch(part if name == "articles" else spark.createDataFrame([], STORE_TABLES[name]), root, name, number)
+        segments.compact(spark, root, fanout=2, buckets=8)
+    return storage.unseen(rows, *segments.read_parts(spark, root, "articles")).select("doc_id", "url_hash")
+
+
 # --- outcomes of a run over the documents --------------------------------------
 
 _OUTCOME_SQL = """evaluated AS (
