@@ -345,8 +345,9 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     found = stored(classes(docs, id_column, text), "document-classes")
     large = found.filter("class_size > 1")
     best = large.groupBy("class_key").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("best"))
-    keys = large.select("key", "class_key").distinct().join(best, "class_key").select(F.col("key").alias("_key"), "class_key", "best")
-    keyed = docs.withColumn("_key", text_key(F.col(f"`{text}`"))).join(keys, "_key", "left")
+    keys = stored(large.select("key", "class_key").distinct().join(best, "class_key").select(F.col("key").alias("_key"), "class_key", "best"), "class-winners")
+    # Texts stay where they are while the narrow verdicts fit a broadcast.
+    keyed = docs.withColumn("_key", text_key(F.col(f"`{text}`"))).join(bounded(keys, F.lit(120)), "_key", "left")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     alone = keyed.filter(F.col("class_key").isNull()).select(*columns)
     winner = (F.col("_key") == F.col("best.key")) & F.col(f"`{id_column}`").cast("long").eqNullSafe(F.col("best.id"))

@@ -34,9 +34,10 @@ def text_key(text: Column) -> Column:
     return F.substring(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256), 1, 32)
 
 
-def bounded(small: DataFrame, column: str) -> DataFrame:
-    """A join side with a broadcast hint if its counted size allows that."""
-    size = small.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(F.col(column).cast("string"))).alias("b")).first()
+def bounded(small: DataFrame, column: str | Column) -> DataFrame:
+    """A join side with a broadcast hint if its counted size allows that: the length of a column, or bytes of a row, and 40 for each row."""
+    each = F.length(F.col(column).cast("string")) if isinstance(column, str) else column
+    size = small.agg(F.count(F.lit(1)).alias("n"), F.sum(each).alias("b")).first()
     return F.broadcast(small) if size["n"] <= BROADCAST_ROWS and (size["b"] or 0) + 40 * size["n"] <= BROADCAST_BYTES else small
 
 

@@ -40,7 +40,7 @@ def tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def subsequence_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels").select("doc_id", "toxic")
-    model = string_kernel.train(docs.filter(fold(F.col("doc_id")) != 0).join(labels, "doc_id"))
+    model = string_kernel.train(string_kernel.with_labels(docs.filter(fold(F.col("doc_id")) != 0), labels))
     return string_kernel.score(docs, model).select("doc_id", F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 

@@ -21,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmill.llm.tables import pieces, with_struct
+from newsmill.llm.positional_index import bounded
+from newsmill.llm.tables import forget, pieces, stored, with_struct
 
 DECAY, REACH, SYMBOLS = 0.7, 6, 32
 GAPS = list(combinations(range(1, REACH + 1), 2))  # where the second and the third character of a triple stand
@@ -34,6 +35,7 @@ KNOWN_WORDS = 1_000_000
 SEPARATED = re.compile(r"(?<!\S)(?:\S[ \t]){2,}\S(?!\S)")  # l e t t e r s set apart
 EDGES = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~¡¿«»“”„…"
 FOLDED = str.maketrans("àáâãäåæçèéêëìíîïñòóôõöøùúûüýÿßœ", "aaaaaaaceeeeiiiinoooooouuuuyyso")
+EVERY_SENTENCE = " "  # no word is a blank
 SENTENCE_END = r"[.!?\n]+(?:\s+|$)|\n"
 
 
@@ -117,17 +119,21 @@ def features_of(texts: list[str], model: Model, known: dict[str, float]) -> np.n
     return rows
 
 
-def sentence_counts(labelled: DataFrame, text: str, label: str) -> tuple[DataFrame, DataFrame]:
-    """How many toxic and clean sentences hold each word, and how many there are; words are split and merged by Spark."""
+def sentence_counts(labelled: DataFrame, text: str, label: str) -> DataFrame:
+    """(word, toxic, clean): how many toxic and clean sentences hold each word; EVERY_SENTENCE stands in all of them.
+
+    Words are split and merged by Spark, in one pass over the texts. Sentences are told apart by 128 bits of a hash.
+    """
     sentences = labelled.select(F.col(label).alias("toxic"), F.explode(F.split(F.lower(F.col(f"`{text}`")), SENTENCE_END)).alias("sentence"))
     # Copies of a text repeat its sentences; each counts once, as toxic if any of its texts is.
-    sentences = sentences.groupBy("sentence").agg(F.max("toxic").alias("toxic"))
-    totals = sentences.agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
-    words = sentences.select("toxic", F.explode(F.array_distinct(F.split("sentence", r"\s+"))).alias("raw"))
+    sentences = sentences.groupBy(F.xxhash64("sentence").alias("h1"), F.xxhash64(F.lit(1), "sentence").alias("h2")).agg(
+        F.max("toxic").alias("toxic"), F.any_value("sentence").alias("sentence"))
+    own = F.array_append(F.array_distinct(F.split("sentence", r"\s+")), F.lit(EVERY_SENTENCE))
+    words = sentences.select("toxic", F.explode(own).alias("raw"))
     word = F.regexp_replace("raw", r"^\p{Punct}+|\p{Punct}+$", "")
     counts = words.groupBy("raw").agg(F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("both")).select(
         word.alias("word"), "toxic", (F.col("both") - F.col("toxic")).alias("clean"))
-    return counts.filter("word != ''").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), totals
+    return counts.filter("word != ''").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
 def landmarks(words: list[str]) -> list[str]:
@@ -174,6 +180,12 @@ def fit_curve(rows: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     return w
 
 
+def with_labels(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
+    """Texts and labels of the documents that have one: texts stay where they are while the labels fit a broadcast."""
+    narrow = labels.select(F.col(f"`{id_column}`").alias("_id"), F.col(f"`{label}`").alias(label))
+    return docs.select(F.col(f"`{id_column}`").alias("_id"), F.col(f"`{text}`").alias(text)).join(bounded(narrow, "_id"), "_id").select(text, label)
+
+
 def train(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Model:
     """Fits on labelled texts. Rows without a text or without a label of 0 or 1 don't count.
 
@@ -183,11 +195,11 @@ def train(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Mode
     """
     rows = labelled.filter(F.col(label).isin(0, 1) & F.col(f"`{text}`").isNotNull()).select(
         F.col(f"`{text}`").alias("text"), F.col(label).cast("int").alias("toxic"))
-    counts, totals = sentence_counts(rows, "text", "toxic")
-    n = totals.first()
-    n_toxic, n_clean = n["toxic"] or 0, n["clean"] or 0
+    tally = stored(sentence_counts(rows, "text", "toxic"), "word-counts")
+    n = tally.filter(F.col("word") == EVERY_SENTENCE).first()
+    n_toxic, n_clean = (n["toxic"], n["clean"]) if n else (0, 0)
     odds = ((F.col("toxic") + 0.5) / (n_toxic + 1)) / ((F.col("clean") + 0.5) / (n_clean + 1))
-    counts = counts.withColumn("odds", odds).persist()
+    counts = tally.filter(F.col("word") != EVERY_SENTENCE).withColumn("odds", odds)
     strong = (F.col("toxic") >= LEAST_SENTENCES) & (F.col("odds") >= LEAST_ODDS)
     strong_rows = counts.filter(strong & (F.length("word") >= 3)).orderBy(F.desc(F.col("toxic") * F.log("odds")), "word").limit(POSITIVE_WORDS).collect()
     positive, seen = [r["word"] for r in strong_rows], [r["toxic"] for r in strong_rows]
@@ -197,7 +209,7 @@ def train(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Mode
     negative = list(dict.fromkeys(frequent + rare))
     negative = [w for w in negative if len(w) >= 3]
     if not positive or not negative:
-        counts.unpersist()
+        forget(tally)
         share = (n_toxic + 0.5) / (n_toxic + n_clean + 1)
         return Model(np.zeros(SYMBOLS ** 3), -1.0, np.array([np.log(share / (1 - share)), 0, 0, 0]))
     model = Model(*fit_machine(positive, seen, negative), np.zeros(4))
@@ -205,7 +217,7 @@ def train(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Mode
         hard = plain.filter(F.length("word") >= 3).withColumn("_d", decision(model, rows.sparkSession)("word")).orderBy(F.desc("_d"), "word").limit(HARD_WORDS).collect()
         negative = list(dict.fromkeys(negative + [r["word"] for r in hard]))
         model = Model(*fit_machine(positive, seen, negative), np.zeros(4))
-    counts.unpersist()
+    forget(tally)
     total = rows.count()
     sample = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < min(1.0, LABELLED_TEXTS / max(1, total)) * 1_000_000)
     texts = with_features(sample, model).select("toxic", "_f").limit(2 * LABELLED_TEXTS).collect()

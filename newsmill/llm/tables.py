@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmill.session import fresh_folder
+from newsmill.session import fresh_folder, remove_folder
 
 PIECE_BYTES = 3_000_000  # text that a task turns into words at a time; a longer text is a piece of its own
 
@@ -23,15 +24,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(folder)
     table = df.sparkSession.read.schema(df.schema).parquet(folder)
     table.stored_in = folder
+    if _recorded is not None:
+        _recorded.append(table)
     return table
 
 
+_recorded: list[DataFrame] | None = None
+
+
+@contextmanager
+def recorded() -> Iterator[list[DataFrame]]:
+    """The tables that `stored` writes meanwhile, for one who knows when nothing reads them any more."""
+    global _recorded
+    outer, _recorded = _recorded, []
+    try:
+        yield _recorded
+    finally:
+        _recorded = outer
+
+
 def forget(*tables: DataFrame) -> None:
     """Deletes what `stored` wrote; nothing may read these tables any more."""
     for table in tables:
-        context = table.sparkSession.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(table.stored_in)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        remove_folder(table.sparkSession, table.stored_in)
 
 
 def others(df: DataFrame, *outputs: str) -> list[Column]:
