@@ -11,7 +11,7 @@ from newsmill.operators import counters, matching, reports, storage
 from newsmill.plans import processing
 from newsmill.schemas import ARTICLES, STORE_TABLES
 from newsmill.session import cut_lineage, fresh_folder
-from newsmill.sources import readers, segments, writers
+from newsmill.sources import config, readers, segments, writers
 from workload.inputs import (
     ARTICLES_SQL, HITS_SQL, RELEVANCE_SQL, SCORED_SQL, TEXTS_SQL, TWO_LANGUAGES, WORD_LEXICON,
     articles, lexicon_sql, sql, table, texts,
@@ -138,6 +138,18 @@ def word_lexicon_scores(spark, folder):
     return out.select(F.col("doc_id").cast("string").alias("doc"), "heat_score", "relevance")
 
 
+@query("table_lexicon_scores", ORACLES["word_lexicon_scores"])
+def table_lexicon_scores(spark, folder):
+    """The same with patterns and exclusions written as tables and loaded from there."""
+    root = fresh_folder(spark, "lexicon")
+    config.lexicon_table(spark, {"": WORD_LEXICON}).write.parquet(f"{root}/patterns")
+    config.exclusion_table(spark, {"": WORD_LEXICON}).write.parquet(f"{root}/exclusions")
+    loaded = config.load_lexicons(spark.read.parquet(f"{root}/patterns"), spark.read.parquet(f"{root}/exclusions"))
+    docs = texts(spark, folder, "documents")
+    out = scoring.score_text(docs, F.col("text"), otherwise=loaded[""])
+    return out.select(F.col("doc_id").cast("string").alias("doc"), "heat_score", "relevance")
+
+
 @query("word_lexicon_matches", sql(
     lexicon_sql({"": WORD_LEXICON}), _RAW_TEXTS, HITS_SQL,
     select="SELECT url_hash AS doc, keyword, category AS keyword_type, CAST(1 AS INTEGER) AS match_count, weight FROM hits"))
@@ -259,6 +271,17 @@ def report_text(spark, folder):
     return reports.report_lines(kept)
 
 
+@query("report_file", f"""
+WITH lines AS (SELECT section, line_ord, string_split(line, chr(10)) AS parts FROM ({ORACLES["report_text"]})),
+each AS (SELECT section, line_ord, unnest(parts) AS line, generate_subscripts(parts, 1) AS part FROM lines)
+SELECT row_number() OVER (ORDER BY section, line_ord, part) - 1 AS line_no, line FROM each""")
+def report_file(spark, folder):
+    """The report written to its file and read back line by line; titles may hold line ends."""
+    path = fresh_folder(spark, "report")
+    writers.write_report(report_text(spark, folder), path)
+    return spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), F.col("value").alias("line"))
+
+
 # --- storage -----------------------------------------------------------------
 
 _BATCH_SQL = """batch AS (
@@ -416,6 +439,22 @@ def stored_tables(spark, folder):
     )
 
 
+@query("catalog_read", sql(SCORED_SQL, _OUTCOME_SQL, select="""
+SELECT source, count(*) AS n, sum(heat_score) AS total FROM outcomes WHERE outcome = 'saved' GROUP BY source"""))
+def catalog_read(spark, folder):
+    """Two batches of one store, seen through the catalog: one written before its tables were registered, one after."""
+    root = fresh_folder(spark, "store")
+    database = "news_" + root.rsplit("-", 1)[1]
+    writers.create_store(spark, root)
+    at = F.lit("2024-10-01 00:00:00").cast("timestamp")
+    done = outcomes(spark, folder)
+    processing.store_outcomes(done.filter("doc_id % 2 = 0"), root, 0, at)
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/_database'")
+    writers.create_catalog_tables(spark, root, database)
+    processing.store_outcomes(done.filter("doc_id % 2 = 1"), root, 1, at, database=database)
+    return spark.sql(f"SELECT source, count(*) AS n, sum(heat_score) AS total FROM {database}.articles GROUP BY source")
+
+
 @query("url_list_file", sql(ARTICLES_SQL, select="SELECT DISTINCT url FROM articles"))
 def url_list_file(spark, folder):
     """Distinct sorted URLs written as text and read as a URL list."""
