@@ -33,7 +33,7 @@ def main() -> None:
         "spark__ui__enabled": "false", "spark__driver__memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     runs, seconds = registry.queries(), {}
-    spark.read.parquet(f"{folder}/nation.parquet").count()
+    runs["score_articles"](spark, folder).write.format("noop").mode("overwrite").save()  # untimed: starts and compiles
     for name in HEADLINES:
         begin = time.perf_counter()
         runs[name](spark, folder).write.format("noop").mode("overwrite").save()
