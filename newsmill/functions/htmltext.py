@@ -1,13 +1,14 @@
-"""Title and body text of one HTML page.
+"""Title, body text, paragraphs and links of one HTML page.
 
 A small per-row helper for the extraction UDF: Spark reads, partitions and ships
-the pages; this only walks one page with the standard library parser and notes
-which text pieces lie inside the elements of interest.
+the pages; this only walks one page with the standard library parser, once, and notes
+which text pieces lie inside the elements of interest and where links lead.
 """
 
 from __future__ import annotations
 
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 # Where a body is looked for, in order, and what holds no text.
 BODY_TAGS = {"article": 0, "main": 3}
@@ -29,6 +30,7 @@ class _Spans(HTMLParser):
         self.pieces: list[str] = []
         self.spans: dict[object, list[int]] = {}
         self.paragraphs: list[list[int]] = []
+        self.links: list[str] = []
         self._open: list[tuple[str, list[list[int]]]] = []
         self._names: dict[str, int] = {}
         self._buffer: list[str] = []
@@ -41,10 +43,13 @@ class _Spans(HTMLParser):
                 self.pieces.append(piece)
 
     def _interest(self, tag: str, attrs) -> list[list[int]]:
+        values = dict(attrs)
+        if tag == "a" and "href" in values:
+            self.links.append(values["href"] or "")
         keys: list[object] = [tag] if tag in ("h1", "title") else []
         if tag in BODY_TAGS:
             keys.append(BODY_TAGS[tag])
-        for name in (dict(attrs).get("class") or "").split():
+        for name in (values.get("class") or "").split():
             if name in BODY_CLASSES:
                 keys.append(BODY_CLASSES[name])
         opened = []
@@ -102,20 +107,30 @@ class _Spans(HTMLParser):
         return joiner.join(self.pieces[span[0]:end])
 
 
-def title_and_body(html: str) -> tuple[str, str]:
-    """(title, body): first h1, else title element; first body element, else all paragraphs."""
+class PageParts(NamedTuple):
+    """What one page holds; `links` are the `href` values of its `<a>` tags in order, decoded."""
+
+    title: str
+    text: str
+    paragraphs: list[str]
+    links: list[str]
+
+
+def page_parts(html: str) -> PageParts:
+    """The parts of a page from one pass.
+
+    The title is the first h1, else the title element; the text is the first body element, else all paragraphs.
+    """
     page = _Spans()
     page.feed(html)
     page.close()
     page._flush()
     heading = page.spans.get("h1") or page.spans.get("title")
     title = page.text(heading, "") if heading else NO_TITLE
-    for rank in range(5):
-        if rank in page.spans:
-            body = page.text(page.spans[rank], "\n")
-            break
-    else:
-        body = ""
-    if not body:
-        body = "\n\n".join(page.text(p, "") for p in page.paragraphs)
-    return title, body
+    paragraphs = [page.text(p, "") for p in page.paragraphs]
+    body = next((page.text(page.spans[rank], "\n") for rank in range(5) if rank in page.spans), "")
+    return PageParts(title, body or "\n\n".join(paragraphs), paragraphs, page.links)
+
+
+def title_and_body(html: str) -> tuple[str, str]:
+    return page_parts(html)[:2]

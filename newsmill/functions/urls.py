@@ -80,8 +80,9 @@ REPLAY_PREFIX = "https://web.archive.org/web/"
 # End of fixed values.
 
 _HIDDEN = r"(?is)<!--.*?-->|<(script|style)\b.*?(?:</\1\s*>|\z)"
-_LINK_TAG = r"""(?i)<a(?=[\s/])((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
-_ATTRIBUTE = r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"""
+# A quote opens a value only right after `=`; anywhere else it is part of a name or of a bare value.
+_ATTRIBUTE = r"""(?<=["'\s/])[^\s/>][^\s/=>]*+(?:\s*+=++\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])[^>\s]*+))?+"""
+_LINK_TAG = rf"""(?i)<a(?=[\s/])((?:[\s/]*+{_ATTRIBUTE})*+[\s/]*+)>"""
 
 
 @F.pandas_udf(T.StringType())
@@ -101,7 +102,7 @@ def hrefs(html: Column) -> Column:
     def href(tag: Column) -> Column:
         attributes = F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), F.lit(0))
         named = F.filter(attributes, lambda a: a.rlike(r"(?i)^href\s*(=|$)"))
-        value = F.regexp_extract(F.try_element_at(named, F.lit(-1)), r"(?s)^[^=]*=\s*(.*)$", 1)
+        value = F.regexp_extract(F.try_element_at(named, F.lit(-1)), r"(?s)^[^=]*=+\s*(.*)$", 1)
         return F.regexp_replace(value, r"""(?s)^(["'])(.*)\1$""", "$2")
 
     return F.filter(F.transform(tags, href), lambda h: h.isNotNull())

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_schema
 
-from newsmill.functions.htmltext import title_and_body
+from newsmill.functions.htmltext import page_parts
 from newsmill.functions.urls import url_hash
 
 # Least body length, error row texts.
@@ -18,37 +18,48 @@ ERROR_TYPE = "SCRAPE_FAILED"
 ERROR_MESSAGE = "Failed to extract article"
 # End of fixed values.
 
-_PARSED = T.StructType([
-    T.StructField("title", T.StringType()),
-    T.StructField("text", T.StringType()),
-])
+# What a page can be asked for; `parse_error` is the type of the exception that a page the parser rejects raised.
+PARTS = {"title": pa.string(), "text": pa.string(), "paragraphs": pa.list_(pa.string()), "links": pa.list_(pa.string()), "parse_error": pa.string()}
 
 
-@F.pandas_udf(_PARSED)
-def _parse(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for pages in batches:
-        rows = []
-        for page in pages:
+def _rows(html: Iterable[str | None], parts: Sequence[str]) -> Iterator[tuple]:
+    """The parts of each page; NULLs for a page that is NULL or that the parser rejects, which must cost one page, not the job."""
+    for page in html:
+        found = {}
+        if page is not None:
             try:
-                rows.append(title_and_body(page) if page is not None else (None, None))
-            except Exception:  # noqa: BLE001 - markup the parser rejects must cost one page, not the job
-                rows.append((None, None))
-        yield pd.DataFrame(rows, columns=["title", "text"])
+                found = page_parts(page)._asdict()
+            except Exception as failure:  # noqa: BLE001
+                found = {"parse_error": type(failure).__name__}
+        yield tuple(found.get(part) for part in parts)
 
 
-# Keeps Spark from pushing filters below the function and parsing every page twice.
-_parse_once = _parse.asNondeterministic()
+def _parser(parts: Sequence[str]):
+    """An Arrow function from HTML to a struct of `parts`; Spark neither pushes filters below it nor calls it twice."""
+    fields = [pa.field(part, PARTS[part]) for part in parts]
 
+    @F.arrow_udf(from_arrow_schema(pa.schema(fields)))
+    def parsed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            columns = list(zip(*_rows(batch.to_pylist(), parts), strict=True)) or [()] * len(fields)
+            yield pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], fields=fields)
 
-def parse_pages(pages: DataFrame) -> DataFrame:
-    """Replace `html` by `title` and `text`; both are NULL where parsing failed."""
+    return parsed.asNondeterministic()
+
+
+def with_parts(pages: DataFrame, parts: Sequence[str] = ("title", "text", "paragraphs", "links", "parse_error")) -> DataFrame:
+    """`pages` with `html` replaced by the named parts, all from one pass over each page."""
     return (
-        pages.withColumn("_parsed", _parse_once(F.col("html"))).drop("html")
-        .withColumns({"title": F.col("_parsed.title"), "text": F.col("_parsed.text")})
-        .drop("_parsed")
+        pages.withColumn("_parsed", _parser(parts)(F.col("html"))).drop("html")
+        .withColumns({part: F.col(f"_parsed.{part}") for part in parts}).drop("_parsed")
     )
 
 
+def parse_pages(pages: DataFrame) -> DataFrame:
+    """Replace `html` by `title`, `text` and `parse_error`; title and text are NULL where parsing failed."""
+    return with_parts(pages, ("title", "text", "parse_error"))
+
+
 def is_extracted(title: Column, text: Column, least_body: int = LEAST_BODY) -> Column:
     """True for a usable article: parsed, and a body of the least length (0: of any length)."""
     return F.coalesce(title.isNotNull() & (F.length(text) >= least_body), F.lit(False))
@@ -89,12 +100,16 @@ def extract_articles(pages: DataFrame, carry: list[str]) -> tuple[DataFrame, Dat
     """
     parsed = parse_pages(pages.select(*carry, "html"))
     good = is_extracted(F.col("title"), F.col("text"))
-    return parsed.filter(good), parsed.filter(~good).select(*carry)
+    return parsed.filter(good).drop("parse_error"), parsed.filter(~good).select(*carry, "parse_error")
 
 
 def error_rows(rejected: DataFrame, at: Column) -> DataFrame:
     """Error-log rows of pages without a usable article."""
-    return rejected.select(
-        at.alias("timestamp"), "source", "url",
-        F.lit(ERROR_TYPE).alias("error_type"), F.lit(ERROR_MESSAGE).alias("error_message"),
-    )
+    return rejected.select(at.alias("timestamp"), "source", "url", F.lit(ERROR_TYPE).alias("error_type"), error_message(rejected))
+
+
+def error_message(failed: DataFrame) -> Column:
+    """`error_message` of pages without an article; one that the parser rejected names its exception, if `parse_error` has it."""
+    if "parse_error" not in failed.columns:
+        return F.lit(ERROR_MESSAGE).alias("error_message")
+    return F.concat(F.lit(ERROR_MESSAGE), F.coalesce(F.concat(F.lit(": "), F.col("parse_error")), F.lit(""))).alias("error_message")

@@ -19,7 +19,7 @@ from newsmill.functions.lexicon import Lexicon
 from newsmill.functions.scoring import DEFAULT_THRESHOLD, full_text, match_list, score_text
 from newsmill.functions.urls import url_hash
 from newsmill.operators.articles import (
-    ERROR_MESSAGE, ERROR_TYPE, author_list, is_extracted, parse_pages, publish_day,
+    ERROR_TYPE, author_list, error_message, is_extracted, parse_pages, publish_day,
 )
 from newsmill.operators.counters import ERROR, SAVED, counter_columns, session_stats, with_outcome
 from newsmill.operators.matching import match_rows
@@ -28,7 +28,7 @@ from newsmill.session import cut_lineage, staged
 from newsmill.sources.writers import BATCH, read_table, write_batch
 
 
-CONTENT = ("title", "text", "authors", "published_date")
+CONTENT = ("title", "text", "authors", "published_date", "parse_error")
 
 
 def candidates_of_list(urls: DataFrame) -> DataFrame:
@@ -159,9 +159,7 @@ def article_rows(outcomes: DataFrame, run_time: Column) -> DataFrame:
 def run_errors(outcomes: DataFrame, run_time: Column) -> DataFrame:
     """Error-log rows of the candidates that failed."""
     return outcomes.filter(F.col("outcome") == ERROR).select(
-        run_time.alias("timestamp"), "source", "url",
-        F.lit(ERROR_TYPE).alias("error_type"), F.lit(ERROR_MESSAGE).alias("error_message"),
-    )
+        run_time.alias("timestamp"), "source", "url", F.lit(ERROR_TYPE).alias("error_type"), error_message(outcomes))
 
 
 def stored_before(spark, root: str, batch_id: int | str) -> DataFrame:

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from newsmill.functions.htmltext import title_and_body
+from newsmill.functions.htmltext import page_parts, title_and_body
 from newsmill.operators import articles as art
 
 LONG = "word " * 30
@@ -30,6 +30,30 @@ def test_title_and_body(html, title, body):
     assert title_and_body(html) == (title, body)
 
 
+def test_all_parts_from_one_pass(spark):
+    html = '<title>T</title><p>a<a title=5" href="/1?x=1&amp;y">l</a></p><!-- <a href="/no"> --><a href>e</a><p></p><p>b'
+    assert page_parts(html) == ("T", "al\n\n\n\nb", ["al", "", "b"], ["/1?x=1&y", ""])
+    pages = spark.createDataFrame([(1, html, "x"), (2, None, "y"), (3, "", "z")], "id int, html string, Links_of string")
+    made = art.with_parts(pages)
+    rows = {r.id: r for r in made.collect()}
+    assert (rows[1].links, rows[1].paragraphs, rows[1].title) == (["/1?x=1&y", ""], ["al", "", "b"], "T")
+    assert (rows[2].title, rows[2].links, rows[2].parse_error) == (None, None, None)
+    assert (rows[3].title, rows[3].text, rows[3].links, rows[3].paragraphs) == ("No title", "", [], [])
+    assert art.with_parts(pages.limit(0)).collect() == []
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1
+
+
+def test_a_rejected_page_names_its_exception(spark, monkeypatch):
+    def failing(_html):
+        raise AssertionError("markup")
+    monkeypatch.setattr(art, "page_parts", failing)
+    assert list(art._rows(["<p>", None], ("title", "parse_error"))) == [(None, "AssertionError"), (None, None)]
+    failed = spark.createDataFrame([("s", "u", "AssertionError"), ("s", "v", None)], "source string, url string, parse_error string")
+    got = {r.url: r.error_message for r in art.error_rows(failed, F.lit("t")).collect()}
+    assert got == {"u": "Failed to extract article: AssertionError", "v": "Failed to extract article"}
+
+
 def test_extraction_splits_good_and_bad(spark):
     pages = spark.createDataFrame(
         [("u1", f"<h1>T</h1><article>{LONG}</article>"), ("u2", "<article>short</article>"), ("u3", None)],

@@ -83,6 +83,8 @@ PAGES = [
     '<a href="">e</a><a href>v</a><abbr href="/no">x</abbr><a href="/5" href="/6">dup</a><a/href="/7">',
     "<style>a { }</style><p>text</p><a href='it\"s'>q</a><a href=\"it's &copy; &#233; &eacute;\">u</a>",
     '<a id="x" title="say href=/no" href="/8">t</a><a href="/9"/>', "", "no tags", '<a href="http://x.org/a\nb">nl</a>',
+    '<a title=5" href="/one">a</a> <a href="/two">b</a>', "<a title=it's href='/a'>a</a><a href='/b'>b</a>",
+    '<a x"y href="/q">a</a><a href="/r"class="c">b</a><a "href="/no">c</a><a href==/s>d</a><a href=/t/>e</a><a href="/u" / >f</a>',
 ]
 
 
