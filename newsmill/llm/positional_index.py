@@ -1,12 +1,13 @@
 """Benchmark decontamination over a positional inverted index of the training texts.
 
-The index has a posting for each occurrence of a term that is the rarest of some test window: the text, the position and
-the words around it. A window's list of positions, moved back by the term's place in the window, gives its candidates;
-the lists of the window's other terms are intersected at their own offsets, the next rarest first, on the words that the
-posting carries, which leaves exact phrase matches and, by the share of terms close by, proximity matches.
-
-Everything is DataFrame functions. The words of all texts are stored once; the counts of test terms come from all of
-them. Test windows are joined by term: by broadcast while their counted rows and bytes are small, else by shuffle.
+The index has a posting for each occurrence of a test term: the term, the text and the position. A window's rarest term gives
+its candidates: the positions of its list, moved back by the term's place in the window. The list of the next rarest term is
+intersected with them at its own offset, and what is left with the lists of all further terms, each at its own; a candidate
+that every list confirms is an exact phrase match. Proximity matches count the lists that have a position near the rarest term's.
+
+Everything is DataFrame functions. Words are taken from all texts once, and postings are written without a shuffle. What is
+asked of the lists is narrow: it is broadcast while its counted rows and bytes are small; else a Bloom filter of it is applied
+in the scan of the postings and only what passes is shuffled, by text, term and position, so that no term is a hot key.
 """
 
 from __future__ import annotations
@@ -17,10 +18,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsmill.llm.tables import stored
+from newsmill.operators.keyfilter import key_filter, passing
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
+MOST_WORDS = 1 << 20  # no window is longer
+SALTS = 16
 BROADCAST_ROWS, BROADCAST_BYTES = 2_000_000, 64_000_000  # of test windows or terms; larger sets are shuffled
 
 
@@ -43,9 +47,9 @@ def bounded(small: DataFrame, column: str | Column) -> DataFrame:
 
 @dataclass
 class Index:
-    tokens: DataFrame  # id, key, n_words, words
-    postings: DataFrame  # term, key, at (0-based), first (of the words around), around
-    windows: DataFrame  # window, words, size, term, offset, second, second_offset
+    tokens: DataFrame  # id, key, n_words
+    postings: DataFrame  # term, key, at (0-based): every occurrence of a test term; copies of a text repeat them
+    windows: DataFrame  # window, size, ranked: (n, offset, term) of each of its words, rarest first; only windows whose terms all occur
     items: DataFrame  # window, item
 
 
@@ -64,44 +68,73 @@ def build(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text
         .select("id", "key", F.size("words").cast("long").alias("n_words"), "words"), "tokens")
     of_items = stored(test_windows(benchmark, item, item_text, size), "test-windows")
     windows = of_items.select("window", "words").distinct()
-    terms = windows.select(F.explode("words").alias("term")).distinct()
-    counts = tokens.select(F.explode("words").alias("term")).join(bounded(terms, "term"), "term").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    # The two rarest terms of each window; a term that no text has ends the search for its windows here.
-    ranked = windows.select("window", F.size("words").alias("size"), F.posexplode("words").alias("offset", "term")).join(counts, "term", "left")
-    rarest = ranked.groupBy("window", "size").agg(
-        F.slice(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "term"))), 1, 2).alias("r"))  # at most `size` terms
-    rarest = rarest.filter(F.col("r")[0]["n"] > 0)
-    last = F.element_at("r", -1)
-    chosen = stored(windows.join(rarest, "window").select(
-        "window", "words", "size", F.col("r")[0]["term"].alias("term"), F.col("r")[0]["offset"].alias("offset"),
-        last["term"].alias("second"), last["offset"].alias("second_offset")), "chosen-windows")
-    seeds = chosen.select("term").distinct()
-    found = tokens.select("key", "words", F.posexplode("words").alias("at", "term")).join(bounded(seeds, "term"), "term")
-    first = F.greatest(F.col("at") - (size - 1), F.lit(0))
-    postings = stored(found.select(
-        "term", "key", "at", first.alias("first"), F.slice(F.col("words"), first + 1, F.col("at") - first + size).alias("around")), "postings")
-    return Index(tokens, postings, chosen, of_items.select("window", "item"))
+    terms = stored(windows.select(F.explode("words").alias("term")).distinct(), "test-terms")
+    occurrences = tokens.select("key", F.posexplode("words").alias("at", "term"))
+    postings = stored(by_term(occurrences, terms).select("term", "key", "at"), "postings")
+    counts = postings.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    placed = windows.select("window", F.size("words").alias("size"), F.posexplode("words").alias("offset", "term")).join(counts, "term")
+    ranked = placed.groupBy("window", "size").agg(F.array_sort(F.collect_list(F.struct("n", "offset", "term"))).alias("ranked"))  # at most `size`
+    return Index(tokens.select("id", "key", "n_words"), postings, stored(ranked.filter(F.size("ranked") == F.col("size")), "ranked-windows"),
+                 of_items.select("window", "item"))
+
+
+def by_term(postings: DataFrame, asked: DataFrame) -> DataFrame:
+    """`postings` with what is asked of their terms; where that is too large for a broadcast, a term's postings are dealt to SALTS keys."""
+    side = bounded(asked, F.lit(80))
+    if side is not asked:
+        return postings.join(side, "term")
+    salted = asked.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return postings.withColumn("_salt", F.pmod(F.xxhash64("key", "at"), F.lit(SALTS)).cast("int")).join(salted, ["term", "_salt"]).drop("_salt")
+
+
+def met(postings: DataFrame, asked: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of `asked` (stored) that postings confirm, repeated for each of them; `on` names key, term and place."""
+    side = bounded(asked, F.lit(160))
+    if side is not asked:
+        return postings.join(side, on)
+    return passing(postings, key_filter(asked, on, asked.count())).distinct().join(asked, on)
 
 
 def candidates(index: Index) -> DataFrame:
-    """Windows at the places where their rarest term puts them, `start` counted from 0."""
-    met = index.postings.join(bounded(index.windows, "words").withColumnRenamed("words", "wanted"), "term")
-    start = F.col("at") - F.col("offset")
-    return met.withColumn("start", start).withColumn("_i", start - F.col("first"))
+    """Windows at the places where their rarest term puts them: key, window, size, start (from 0), at (of the rarest term); each once."""
+    rarest = index.windows.select("window", "size", F.col("ranked")[0]["term"].alias("term"), F.col("ranked")[0]["offset"].alias("_offset"))
+    return by_term(index.postings, rarest).select("key", "window", "size", (F.col("at") - F.col("_offset")).alias("start"), "at").distinct()
 
 
 def phrases(index: Index) -> DataFrame:
     """Exact matches: key, window, start, size; each once."""
-    return candidates(index).filter(F.col("_i") >= 0).filter(
-        F.get("around", F.col("_i") + F.col("second_offset")) == F.col("second")).filter(
-        F.slice("around", F.greatest(F.col("_i"), F.lit(0)) + 1, F.col("size")) == F.col("wanted")).select("key", "window", "start", "size").distinct()
+    columns = ["key", "window", "start", "size"]
+    place = ["key", "term", "at"]
+    one = stored(candidates(index).filter("start >= 0").select(*columns), "candidates")
+
+    def asked(of: DataFrame, first: int, last: int, name: str) -> DataFrame:
+        """Where the terms of the ranks first .. last would stand."""
+        terms = index.windows.select("window", F.explode(F.slice("ranked", first, last - first + 1)).alias("r")).select("window", "r.term", "r.offset")
+        return stored(of.join(bounded(terms, F.lit(80)), "window").select(*columns, "term", (F.col("start") + F.col("offset")).alias("at")), name)
+
+    two = stored(met(index.postings, asked(one.filter("size > 1"), 2, 2, "asked-second"), place).select(*columns).distinct(), "candidates-two")
+    rest = met(index.postings, asked(two.filter("size > 2"), 3, MOST_WORDS, "asked-rest"), place)
+    whole = rest.groupBy(*columns).agg(F.size(F.collect_set("at")).alias("n")).filter("n = size - 2")  # at most `size` places
+    return one.filter("size = 1").unionByName(two.filter("size = 2")).unionByName(whole.select(*columns))
 
 
 def near(index: Index, share: float = 0.8) -> DataFrame:
     """Proximity matches: key and window where at least `share` of the window's distinct terms stand near its rarest one, in
-    any order, within a window's length on each side."""
-    common = F.size(F.array_intersect("around", "wanted"))
-    return candidates(index).filter(common >= share * F.size(F.array_distinct("wanted"))).select("key", "window").distinct()
+    any order, less than a window's length before or after it.
+
+    Positions are put in bins of a window's length, and a candidate asks the lists for the bin of its rarest term and its neighbours.
+    """
+    size = index.windows.agg(F.max("size")).first()[0] or 1
+    places = stored(candidates(index).select("key", "window", "at").distinct(), "places")
+    terms = index.windows.select("window", F.explode(F.array_distinct(F.transform("ranked", lambda r: r["term"]))).alias("term"))
+    wide = index.windows.select("window", F.col("size").alias("_reach"), F.size(F.array_distinct(F.transform("ranked", lambda r: r["term"]))).alias("_terms"))
+    here = F.col("at").cast("long") / size
+    bins = F.explode(F.array(*(F.floor(here) + d for d in (-1, 0, 1)))).alias("bin")
+    asked = stored(places.join(bounded(wide, F.lit(80)), "window").join(bounded(terms, F.lit(80)), "window").select(
+        "key", "window", F.col("at").alias("_from"), "_reach", "_terms", "term", bins), "asked-near")
+    found = met(index.postings.withColumn("bin", F.floor(here)), asked, ["key", "term", "bin"]).filter(F.abs(F.col("at") - F.col("_from")) < F.col("_reach"))
+    return found.groupBy("key", "window", "_from", "_terms").agg(F.size(F.collect_set("term")).alias("n")).filter(
+        F.col("n") >= share * F.col("_terms")).select("key", "window").distinct()
 
 
 def hits(index: Index) -> DataFrame:
@@ -135,5 +168,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_i
 
 def contaminated_texts(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """The keys of texts that hold a test window."""
-    found = contamination(docs.select(F.lit(None).cast("long").alias("id"), F.col(f"`{text}`").alias("text")), benchmark, "id", "text", item, item_text)
-    return found.filter("contaminated").select("key").distinct()
+    index = build(docs.select(F.lit(None).cast("long").alias("id"), F.col(f"`{text}`").alias("text")), benchmark, "id", "text", item, item_text)
+    return phrases(index).select("key").distinct()
