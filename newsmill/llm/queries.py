@@ -129,6 +129,23 @@ SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance, CAST(sum(distance)
 FROM a{rounds} JOIN (SELECT c AS cluster, sha256(string_agg(x, ',' ORDER BY pos)) AS digest FROM c{rounds} GROUP BY c) USING (cluster)"""
 
 
+WORDS_SQL = f"regexp_extract_all(translate(text, '{positional_index.UPPER}', '{positional_index.LOWER}'), '{positional_index.WORD}')"
+POSITIONAL_SQL = f"""WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, COALESCE({WORDS_SQL}, []) AS w FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item, {WORDS_SQL} AS w FROM benchmark),
+windows AS MATERIALIZED (SELECT DISTINCT item, list_slice(w, i, i + 9) AS x FROM (
+  SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT len(x) AS n FROM windows),
+places AS (SELECT r, i, n, list_slice(w, i, i + n - 1) AS x FROM (
+  SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs JOIN sizes ON len(w) >= n)),
+found AS MATERIALIZED (SELECT r, i, n, x FROM places SEMI JOIN windows USING (x)),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM found) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (
+  SELECT DISTINCT r, item FROM found JOIN windows USING (x) WHERE item IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items,
+  sha256(COALESCE(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -142,4 +159,4 @@ QUERIES = {
     "op10_quotation_links": quotations, "op11_pivot_table": pivot_table, "op12_anchor_windows": anchor_windows,
     "op13_learned_partitions": learned_parts, "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {"op11_pivot_table": pivot_table_sql()}
+ORACLES: dict[str, str] = {"op5_positional_index": POSITIONAL_SQL, "op11_pivot_table": pivot_table_sql()}
