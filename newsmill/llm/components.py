@@ -9,7 +9,7 @@ from newsmill.llm.tables import stored
 
 
 def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
-    """node and label (the least node of its component) for every node of an edge (a, b).
+    """node and label (the least node of its component) for every node of an edge (a, b); fails rather than give unsettled labels.
 
     Each round lets a node point its neighbours to the least it knows; nodes with many neighbours are no group anywhere,
     only a key of a minimum that is partly taken before the shuffle and of joins that can be split.
@@ -27,5 +27,7 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
         if seen == state:
             break
         state = seen
+    else:
+        raise RuntimeError(f"components are not settled after {most_rounds} rounds")
     roots = now.select(F.col("v").alias("node")).distinct().withColumn("label", F.col("node"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots)

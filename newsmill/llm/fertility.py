@@ -62,7 +62,7 @@ class Vocabularies:
         self.known: dict[bytes, bytes] = {}
 
     def look_up(self, words: list[bytes]) -> list[bytes]:
-        """For each word 16-bit numbers: how many byte-level tokens it has, then its pieces."""
+        """For each word 32-bit numbers: how many byte-level tokens it has, then its pieces."""
         new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > KNOWN_WORDS:
             self.known.clear()
@@ -70,7 +70,7 @@ class Vocabularies:
         texts = [w.decode() for w in new]
         for word, text, ids in zip(new, texts, self.pieces.encode(texts, num_threads=1) if texts else [], strict=True):
             count = len(self.levels.encode_ordinary(" " + text))
-            self.known[word] = np.array([min(count, 65535), *ids], np.uint16).tobytes()
+            self.known[word] = np.array([count, *ids], np.uint32).tobytes()
         return [self.known[w] for w in words]
 
 
@@ -148,8 +148,8 @@ def measure(texts: list[str], vocabulary: Vocabularies, patterns: dict) -> list[
     coded = pa.array(words, pa.binary()).dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     ids = vocabulary.look_up(coded.dictionary.to_pylist())
-    flat = np.frombuffer(b"".join(ids), np.uint16).astype(np.int64)
-    length = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
+    flat = np.frombuffer(b"".join(ids), np.uint32).astype(np.int64)
+    length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
     begin = np.cumsum(length) - length
     many = length[codes] - 1
     tokens = flat[spans_of(begin[codes] + 1, many)]

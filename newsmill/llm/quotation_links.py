@@ -112,4 +112,6 @@ def reply_paths(linked: DataFrame) -> DataFrame:
         if paths.filter("_grew").isEmpty():
             break
         paths = paths.drop("_grew")
+    else:
+        raise RuntimeError(f"reply paths are not complete after {MOST_ROUNDS} rounds")
     return paths.drop("_grew")

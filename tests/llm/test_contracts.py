@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from brute import BASE8, encoding, fold, lower, luhn, op1, op2, op4, op5, op8, op9, sha
 
-from newsmill.llm import byte_bpe, queries
+from newsmill.llm import byte_bpe, components, fertility, queries
 
 SMALL = "/root/testdata/sf0.001"
 EDGES = [
@@ -84,6 +84,17 @@ def test_op2(spark, folder):
     assert queries.QUERIES["op2_tokeniser_fertility"](spark, folder).filter("kept AND base_failed OR kept IS NULL").isEmpty()
 
 
+def test_op2_counts_of_long_words(spark):
+    """A word of more tokens than 16 bits can count, in letters and in a script of single characters."""
+    texts = ["x1" * 60_000, "\u8a9e\u6f22" * 45_000, "short words only"]
+    found = fertility.rate(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), queries.PIECES, queries.RANKS, queries.public_tokenizers.PATTERN)
+    levels, own = encoding(), fertility.vocabularies(queries.PIECES, queries.RANKS, queries.public_tokenizers.PATTERN).pieces
+    for r in found.collect():
+        words = texts[r.doc_id].split()
+        assert r.n_byte_tokens == sum(len(levels.encode_ordinary(" " + w)) for w in words)
+        assert r.n_pieces == sum(len(own.encode(w)) for w in words)
+
+
 def test_op3_rows(spark, folder):
     got = queries.QUERIES["op3_subsequence_kernel"](spark, folder).collect()
     assert Counter((r.doc_id, r.held_out) for r in got) == Counter((d, fold(d) == 0) for d, _ in docs_of(spark, folder))
@@ -159,5 +170,12 @@ def test_empty_tables(spark, empty_dir, name):
     assert queries.QUERIES[name](spark, empty_dir).count() == 0
 
 
+def test_unsettled_components_fail(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    assert {r.label for r in components.components(chain).collect()} == {0}
+    with pytest.raises(RuntimeError, match="not settled"):
+        components.components(chain, most_rounds=1)
+
+
 def test_helpers_of_the_plain_versions():
     assert lower("ÀBC") == "Àbc" and luhn("4111111111111111")
