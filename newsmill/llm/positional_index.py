@@ -5,7 +5,7 @@ its candidates: the positions of its list, moved back by the term's place in the
 intersected with them at its own offset, and what is left with the lists of all further terms, each at its own; a candidate
 that every list confirms is an exact phrase match. Proximity matches count the lists that have a position near the rarest term's.
 
-Everything is DataFrame functions. Words are taken from all texts once, and postings are written without a shuffle. What is
+Everything is DataFrame functions. Words are taken from all texts once, and postings are written in the same pass, without a shuffle. What is
 asked of the lists is narrow: it is broadcast while its counted rows and bytes are small; else a Bloom filter of it is applied
 in the scan of the postings and only what passes is shuffled, by text, term and position, so that no term is a hot key.
 """
@@ -23,6 +23,7 @@ from newsmill.operators.keyfilter import key_filter, passing
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
+NO_TERM = ""  # no word is empty
 MOST_WORDS = 1 << 20  # no window is longer
 SALTS = 16
 BROADCAST_ROWS, BROADCAST_BYTES = 2_000_000, 64_000_000  # of test windows or terms; larger sets are shuffled
@@ -63,18 +64,21 @@ def test_windows(benchmark: DataFrame, item: str, text: str, size: int) -> DataF
 
 def build(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text", item: str = "item_id",
           item_text: str = "text", size: int = WINDOW) -> Index:
-    tokens = stored(docs.select(
-        F.col(f"`{id_column}`").alias("id"), text_key(F.col(f"`{text}`")).alias("key"), words(F.col(f"`{text}`")).alias("words"))
-        .select("id", "key", F.size("words").cast("long").alias("n_words"), "words"), "tokens")
     of_items = stored(test_windows(benchmark, item, item_text, size), "test-windows")
     windows = of_items.select("window", "words").distinct()
     terms = stored(windows.select(F.explode("words").alias("term")).distinct(), "test-terms")
-    occurrences = tokens.select("key", F.posexplode("words").alias("at", "term"))
-    postings = stored(by_term(occurrences, terms).select("term", "key", "at"), "postings")
+    # Texts are read once: each gives a row for itself, as its occurrence of no term at all, and one for each of its words.
+    split = docs.select(F.col(f"`{id_column}`").alias("id"), text_key(F.col(f"`{text}`")).alias("key"), words(F.col(f"`{text}`")).alias("words"))
+    listed = split.select("id", "key", F.size("words").cast("long").alias("n_words"), F.posexplode(F.concat(F.array(F.lit(NO_TERM)), "words")).alias("at", "term"))
+    own = F.col("term") == NO_TERM
+    marked = terms.unionByName(docs.sparkSession.range(1).select(F.lit(NO_TERM).alias("term")))
+    index = stored(by_term(listed, marked).select(
+        "term", "key", (F.col("at") - 1).alias("at"), F.when(own, F.col("id")).alias("id"), F.when(own, F.col("n_words")).alias("n_words")), "postings")
+    tokens, postings = index.filter(own).select("id", "key", "n_words"), index.filter(~own).select("term", "key", "at")
     counts = postings.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     placed = windows.select("window", F.size("words").alias("size"), F.posexplode("words").alias("offset", "term")).join(counts, "term")
     ranked = placed.groupBy("window", "size").agg(F.array_sort(F.collect_list(F.struct("n", "offset", "term"))).alias("ranked"))  # at most `size`
-    return Index(tokens.select("id", "key", "n_words"), postings, stored(ranked.filter(F.size("ranked") == F.col("size")), "ranked-windows"),
+    return Index(tokens, postings, stored(ranked.filter(F.size("ranked") == F.col("size")), "ranked-windows"),
                  of_items.select("window", "item"))
 
 
