@@ -6,8 +6,8 @@ intersected with them at its own offset, and what is left with the lists of all
 that every list confirms is an exact phrase match. Proximity matches count the lists that have a position near the rarest term's.
 
 Everything is DataFrame functions. Words are taken from all texts once, and postings are written in the same pass, without a shuffle. What is
-asked of the lists is narrow: it is broadcast while its counted rows and bytes are small; else a Bloom filter of it is applied
-in the scan of the postings and only what passes is shuffled, by text, term and position, so that no term is a hot key.
+asked of the lists is narrow: a Bloom filter of it is applied in the scan of the postings, and only what passes is shuffled, by
+text, term and position, so that no term is a hot key.
 """
 
 from __future__ import annotations
@@ -93,9 +93,6 @@ def by_term(postings: DataFrame, asked: DataFrame) -> DataFrame:
 
 def met(postings: DataFrame, asked: DataFrame, on: list[str]) -> DataFrame:
     """Rows of `asked` (stored) that postings confirm, repeated for each of them; `on` names key, term and place."""
-    side = bounded(asked, F.lit(160))
-    if side is not asked:
-        return postings.join(side, on)
     return passing(postings, key_filter(asked, on, asked.count())).distinct().join(asked, on)
 
 
