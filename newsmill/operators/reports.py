@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Report texts, widths and list lengths.
@@ -99,30 +99,58 @@ def _line_array(section: int, *lines: Column | str) -> Column:
     ])
 
 
+GROUP_FIELDS = ("category", "source", "language")
+# Bits of a group's `_set`, in the order of the fields: a set bit means "not grouped by".
+BY_LABEL, BY_NAME, BY_CODE, ALL_ROWS = 0b011, 0b101, 0b110, 0b111
+
+
+def _nothing(spark: SparkSession) -> DataFrame:
+    """One row that counts no article; it keeps the grand total alive when nothing is stored."""
+    empty = [F.lit(None).cast("string").alias(f) for f in GROUP_FIELDS]
+    return spark.range(1).select(*empty, F.lit(None).cast("double").alias("heat_score"), F.lit(0).alias("_one"))
+
+
+def report_groups(articles: DataFrame) -> DataFrame:
+    """Counts and score sums by label, by source, by language and over all: one aggregation over grouping sets.
+
+    Sums and counts can be added up, so the groups of several batches give those of all
+    (:func:`merged_groups`); averages are taken at the end.
+    """
+    rows = articles.select(*GROUP_FIELDS, F.col("heat_score").cast("double").alias("heat_score"), F.lit(1).alias("_one"))
+    return (
+        rows.unionByName(_nothing(articles.sparkSession))
+        .groupingSets([["category"], ["source"], ["language"], []], *GROUP_FIELDS)
+        .agg(F.grouping_id().cast("int").alias("_set"), F.sum("_one").cast("bigint").alias("n"),
+             F.count("heat_score").alias("scored"), F.sum("heat_score").alias("score_sum"))
+        .filter((F.col("n") > 0) | (F.col("_set") == ALL_ROWS))
+    )
+
+
+def merged_groups(groups: DataFrame) -> DataFrame:
+    """The groups of several batches added up; without any batch the total is none."""
+    nothing = _nothing(groups.sparkSession).select(
+        *GROUP_FIELDS, F.lit(ALL_ROWS).alias("_set"), F.lit(0).cast("bigint").alias("n"),
+        F.lit(0).cast("bigint").alias("scored"), F.lit(None).cast("double").alias("score_sum"))
+    return groups.select(*nothing.columns).unionByName(nothing).groupBy(*GROUP_FIELDS, "_set").agg(
+        *(F.sum(c).alias(c) for c in ("n", "scored", "score_sum")))
+
+
 def report_lines(articles: DataFrame) -> DataFrame:
     """The text report as (section, line_ord, line) in reading order.
 
     All counts and averages come from one aggregation over grouping sets, the
-    top list from a second, column-pruned read.  Only the few report rows are
-    ranked, within their section, and turned into lines.
+    top list from a second, column-pruned read.
     """
-    fields = ["category", "source", "language", "heat_score"]
-    # One empty row keeps the grand total alive when nothing is stored.
-    nothing = articles.sparkSession.range(1).select(
-        *[F.lit(None).cast("double" if f == "heat_score" else "string").alias(f) for f in fields],
-        F.lit(0).alias("_one"))
-    groups = (
-        articles.select(*fields, F.lit(1).alias("_one")).unionByName(nothing)
-        .groupingSets([["category"], ["source"], ["language"], []], "category", "source", "language")
-        .agg(F.grouping_id().alias("_set"), F.sum("_one").alias("n"), F.avg("heat_score").alias("a"))
-        .filter("n > 0 OR _set = 7")
-    )
-    # Bits of the grouping id: category, source, language; a set bit means "not grouped by".
-    by_label, by_name, by_code, all_rows = 0b011, 0b101, 0b110, 0b111
+    return lines_of_groups(report_groups(articles), top_articles(articles))
+
+
+def lines_of_groups(groups: DataFrame, best: DataFrame) -> DataFrame:
+    """The report of counted groups and of the best articles; only these few rows are ranked, within their section."""
     kind = F.col("_set")
+    groups = groups.withColumn("a", F.try_divide("score_sum", F.col("scored").cast("double")))
     order = [
-        F.when(kind == by_label, -F.col("a")).when(kind == by_name, -F.col("n").cast("double")),
-        F.coalesce("category", "source", "language"),
+        F.when(kind == BY_LABEL, -F.col("a")).when(kind == BY_NAME, -F.col("n").cast("double")),
+        F.coalesce(*GROUP_FIELDS),
     ]
     rank = F.row_number().over(Window.partitionBy("_set").orderBy(*order))
     average = F.concat(F.lit("articles (avg score: "), one_decimal(F.col("a")), F.lit(")"))
@@ -135,14 +163,14 @@ def report_lines(articles: DataFrame) -> DataFrame:
         _line_array(11, "", RULE),
     )
     grouped = groups.withColumn("_rank", rank).select("_rank", F.posexplode(
-        F.when(kind == all_rows, totals)
-        .when(kind == by_label, _line_array(4, F.format_string("  %-25s %4d %s", "category", "n", average)))
-        .when(kind == by_name, _line_array(6, F.format_string("  %-30s %4d %s", "source", "n", average)))
-        .when(kind == by_code, _line_array(8, F.format_string(
+        F.when(kind == ALL_ROWS, totals)
+        .when(kind == BY_LABEL, _line_array(4, F.format_string("  %-25s %4d %s", "category", "n", average)))
+        .when(kind == BY_NAME, _line_array(6, F.format_string("  %-30s %4d %s", "source", "n", average)))
+        .when(kind == BY_CODE, _line_array(8, F.format_string(
             "  %-30s %4d articles", language_name(F.col("language")), "n")))
     ).alias("_pos", "_line"))
     top_rank = F.row_number().over(Window.orderBy(F.desc("heat_score"), "url_hash"))
-    best = top_articles(articles).withColumn("_rank", top_rank).select("_rank", F.posexplode(_line_array(
+    best = best.withColumn("_rank", top_rank).select("_rank", F.posexplode(_line_array(
         10, "",
         F.format_string("  %d. [%s] %s", "_rank", one_decimal(F.col("heat_score")),
                         F.substring(F.coalesce("title", F.lit("")), 1, TITLE_WIDTH)),

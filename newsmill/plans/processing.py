@@ -25,6 +25,7 @@ from newsmill.operators.counters import ERROR, SAVED, counter_columns, session_s
 from newsmill.operators.matching import match_rows
 from newsmill.operators.ordering import first_per_key, key_list_size, narrowed_to
 from newsmill.session import cut_lineage, staged
+from newsmill.sources import reportstate
 from newsmill.sources.writers import BATCH, read_table, write_batch
 
 
@@ -169,12 +170,13 @@ def stored_before(spark, root: str, batch_id: int | str) -> DataFrame:
 
 def store_outcomes(
     outcomes: DataFrame, root: str, batch_id: int | str, run_time: Column,
-    sources: DataFrame | None = None, database: str | None = None,
+    sources: DataFrame | None = None, database: str | None = None, report: bool = False,
 ) -> dict[str, int]:
     """Write one batch: matches, errors, sessions, then articles; returns the counters of the run.
 
     `batch_id` must be the batch's own, see :func:`newsmill.sources.writers.batch_name`: an equal one is replaced.
-    With `database` the batch also becomes visible in the catalog tables there.
+    With `database` the batch also becomes visible in the catalog tables there; with `report` its part of the report is
+    stored too, last of all, so that :func:`newsmill.sources.reportstate.report` needs no article.
 
     The outcomes are staged once as columns, so the tables agree, nothing is extracted or scored twice, and each table
     reads its own columns only; the staging folder is removed at the end.  The counters are observed in that pass
@@ -190,4 +192,6 @@ def store_outcomes(
             write_batch(session_stats(fixed, sources, run_time, F.current_timestamp()),
                         root, "scrape_sessions", batch_id, database)
         write_batch(article_rows(fixed, run_time), root, "articles", batch_id, database)
+        if report:
+            reportstate.write_state(saved.withColumnRenamed("relevance", "category"), root, batch_id)
     return counts.get

@@ -11,7 +11,7 @@ from newsmill.operators import counters, matching, reports, storage
 from newsmill.plans import processing
 from newsmill.schemas import ARTICLES, STORE_TABLES
 from newsmill.session import cut_lineage, fresh_folder
-from newsmill.sources import config, readers, segments, writers
+from newsmill.sources import config, readers, reportstate, segments, writers
 from workload.inputs import (
     ARTICLES_SQL, HITS_SQL, RELEVANCE_SQL, SCORED_SQL, TEXTS_SQL, TWO_LANGUAGES, WORD_LEXICON,
     articles, lexicon_sql, sql, table, texts,
@@ -271,6 +271,29 @@ def report_text(spark, folder):
     return reports.report_lines(kept)
 
 
+@query("report_from_batches", ORACLES["report_text"])
+def report_from_batches(spark, folder):
+    """The same report from the stored parts of three batches, one of them written twice: no article is read again."""
+    root = fresh_folder(spark, "store")
+    columns = ["doc_id", "category", "source", "language", "heat_score", "title", "url_hash"]
+    kept = cut_lineage(stored(spark, folder).filter("heat_score > 0").select(*columns))
+    reportstate.write_state(kept, root, 2)
+    for number in range(3):
+        reportstate.write_state(kept.filter(F.col("doc_id") % 3 == number), root, number)
+    return reportstate.report(spark, root)
+
+
+@query("source_report_from_batches", ORACLES["source_report"])
+def source_report_from_batches(spark, folder):
+    """Articles and average score by source out of the stored parts of a run's two batches."""
+    root = fresh_folder(spark, "store")
+    columns = ["doc_id", "category", "source", "language", "heat_score", "title", "url_hash"]
+    rows = cut_lineage(stored(spark, folder).select(*columns))
+    for number in range(2):
+        reportstate.write_state(rows.filter(F.col("doc_id") % 2 == number), root, number)
+    return reportstate.by_source(spark, root)
+
+
 @query("report_file", f"""
 WITH lines AS (SELECT section, line_ord, string_split(line, chr(10)) AS parts FROM ({ORACLES["report_text"]})),
 each AS (SELECT section, line_ord, unnest(parts) AS line, generate_subscripts(parts, 1) AS part FROM lines)
