@@ -12,7 +12,8 @@ from newsmill.operators import captures as cap
 from newsmill.operators import search as find
 from newsmill.operators.links import page_links
 from newsmill.operators.ordering import with_global_index
-from newsmill.sources import readers
+from newsmill.session import fresh_folder
+from newsmill.sources import phraseindex, readers
 from newsmill.sources.config import term_table
 from workload.inputs import (
     ARTICLES_SQL, CAPTURES_SQL, LINKS_SQL, PAGES_SQL, WORD_TERMS, articles, captures, pages, quoted, sql, table,
@@ -207,6 +208,25 @@ def default_term_search(spark, folder):
     return find.priority_search(found, term_table(spark, SEARCH_TERMS))
 
 
+def _indexed(spark, folder, terms):
+    """The same from a phrase index that two batches of the articles left, one of them written twice."""
+    root = fresh_folder(spark, "index")
+    rows, text = articles(spark, folder), scoring.full_text(F.col("title"), F.col("text"))
+    for number in (1, 0, 1):
+        phraseindex.write_index(rows.filter(F.col("doc_id") % 2 == number), text, root, number)
+    return phraseindex.first_terms(spark, root, terms, *_DATES)
+
+
+@query("indexed_search", ORACLES["priority_search"])
+def indexed_search(spark, folder):
+    return find.priority_search(_indexed(spark, folder, WORD_TERMS), term_table(spark, WORD_TERMS), 60)
+
+
+@query("indexed_default_search", ORACLES["default_term_search"])
+def indexed_default_search(spark, folder):
+    return find.priority_search(_indexed(spark, folder, SEARCH_TERMS), term_table(spark, SEARCH_TERMS))
+
+
 # Every page acts as a result page; the paths of its links get the marker and the ending of articles.
 _MARKED_HTML = """(href=")(https?://[^/"]+)?(/[^"]*)(")"""
 
