@@ -69,31 +69,28 @@ def _article() -> Column:
     return F.unhex(F.md5(F.concat_ws("\0", "url", "_body").cast("binary")))
 
 
-def _words(text: Column) -> Column:
-    """Words of a text in order, each as `word` with the `joint` that ties the next one to it, empty for other signs."""
-    folded = F.translate(F.lower(text), "".join(FOLDED_TWINS.values()), "".join(FOLDED_TWINS))
-
-    def entry(run: Column) -> Column:
-        gap = F.regexp_extract(run, r"(?U)^\w+(\W*)", 1)
-        joint = F.when(gap.rlike(r"(?U)^[\s\x1c-\x1f]+$"), SPACE).when(gap.isin(list(JOINTS)), gap).otherwise("")
-        return F.struct(F.regexp_extract(run, r"(?U)^\w+", 0).alias("word"), joint.alias("joint"))
-
-    # A word with the signs after it: signs before the first word cost one step each.
-    return F.transform(F.regexp_extract_all(folded, F.lit(r"(?U)\w+\W*+"), F.lit(0)), entry)
+# A word with the signs after it; the group is what ties it to the next word, empty for other signs.
+_WORD = r"(?U)\w+"
+_TIED = r"(?U)\w++(?:([\s\x1c-\x1f]++|[-'/])(?=\w)|\W*+)"
 
 
 def postings(articles: DataFrame, text: Column) -> DataFrame:
     """Postings of articles (url, published_date); `article` tells texts and URLs apart by 128 bits.
 
-    Articles without text or words have none; equal rows give equal postings.
+    Two regex passes over a text, none over its words.  Articles without text or words have none; equal rows give equal postings.
     """
+    folded = F.translate(F.lower("_body"), "".join(FOLDED_TWINS.values()), "".join(FOLDED_TWINS))
     bodies = articles.select("url", "published_date", text.alias("_body"))
-    words = bodies.select(_article().alias("article"), "published_date", F.explode(F.array(_words(F.col("_body")))).alias("_words"))
-    rest = F.slice("_words", 2, F.greatest(F.size("_words"), F.lit(0)))
-    pairs = F.zip_with("_words", rest, lambda one, after: F.struct(
-        one["word"].alias("word"), F.when(one["joint"] != "", F.concat(one["joint"], after["word"])).alias("next")))
-    placed = words.select("article", "published_date", F.posexplode(pairs).alias("place", "_at"))
-    return placed.select("_at.word", "_at.next", "article", "place", "published_date")
+    texts = bodies.select(_article().alias("article"), "published_date", F.explode(F.array(folded)).alias("_text"))
+    words = texts.select("article", "published_date", F.explode(F.array(F.struct(
+        F.regexp_extract_all("_text", F.lit(_WORD), F.lit(0)).alias("words"),
+        F.regexp_extract_all("_text", F.lit(_TIED), F.lit(1)).alias("ties")))).alias("_in"))
+    placed = words.select("article", "published_date", F.posexplode(F.arrays_zip(
+        F.col("_in.words").alias("word"), F.slice("_in.words", 2, F.greatest(F.size("_in.words"), F.lit(0))).alias("after"),
+        F.col("_in.ties").alias("tie"))).alias("place", "_at"))
+    tie = F.col("_at.tie")
+    following = F.when(tie != "", F.concat(F.when(tie.isin(list(JOINTS)), tie).otherwise(SPACE), F.col("_at.after")))
+    return placed.select("_at.word", following.alias("next"), "article", "place", "published_date")
 
 
 def _month() -> Column:
@@ -104,7 +101,7 @@ def write_index(articles: DataFrame, text: Column, root: str, batch_id: int | st
     """Indexes one batch of articles (url, published_date); writing it again replaces it."""
     rows = {
         "postings": postings(articles, text).withColumn(MONTH, _month())
-        .repartitionByRange(MONTH, "word", "article", "place").sortWithinPartitions(MONTH, "word", "article", "place"),
+        .repartitionByRange(MONTH, "word", "article").sortWithinPartitions(MONTH, "word", "article"),
         "articles": articles.withColumn("_body", text).select(_article().alias("article"), "url", "published_date", _month().alias(MONTH))
         .repartitionByRange(MONTH, "article").sortWithinPartitions(MONTH, "article"),
     }
