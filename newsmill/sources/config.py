@@ -26,7 +26,8 @@ NEWS_SOURCES = (
 DATE_RANGE_SOURCES = NEWS_SOURCES[:3]
 # End of fixed values.
 
-# A configuration is small by nature; refuse anything that is not.
+# A configuration is small by nature; a lexicon table with more patterns is refused.
+MOST_PATTERNS = 100_000
 
 _SOURCE_FIELDS = pa.schema([
     ("source_ord", pa.int32()), ("source", pa.string()), ("base", pa.string()),
@@ -97,20 +98,28 @@ def term_table(spark: SparkSession, terms: Sequence[SearchTerm]) -> DataFrame:
 def load_lexicons(patterns: DataFrame, exclusions: DataFrame | None = None) -> dict[str, Lexicon]:
     """Lexicons from tables shaped like :func:`lexicon_table` and :func:`exclusion_table`.
 
-    Patterns become literals of the scoring plan, so this configuration is read
-    when the plan is built.  Each row keeps its weight and priority, and rows
-    their order: neighbours that agree in both and in the category are one part of it.
+    Patterns become part of the scoring plan, so this configuration is read
+    when the plan is built; tables of more than `MOST_PATTERNS` rows raise a
+    ValueError.  Each row keeps its weight and priority, and rows their order:
+    neighbours that agree in both and in the category are one part of it.
     """
-    grouped: dict[str, list[Category]] = {}
-    for row in sorted(patterns.collect(), key=lambda r: (r.language, r.pattern_ord)):
+    grouped: dict[str, list[tuple[Category, list[str]]]] = {}
+    for row in sorted(_collected(patterns), key=lambda r: (r.language, r.pattern_ord)):
         parts, head = grouped.setdefault(row.language, []), Category(row.category, row.priority, row.weight, ())
-        if not parts or parts[-1]._replace(patterns=()) != head:
-            parts.append(head)
-        parts[-1] = parts[-1]._replace(patterns=parts[-1].patterns + (row.pattern,))
+        if not parts or parts[-1][0] != head:
+            parts.append((head, []))
+        parts[-1][1].append(row.pattern)
     blocked: dict[str, list[str]] = {}
-    for row in (exclusions.collect() if exclusions is not None else []):
+    for row in (_collected(exclusions) if exclusions is not None else []):
         blocked.setdefault(row.language, []).append(row.pattern)
     return {
-        language: Lexicon(tuple(parts), tuple(blocked.get(language, ())))
+        language: Lexicon(tuple(head._replace(patterns=tuple(own)) for head, own in parts), tuple(blocked.get(language, ())))
         for language, parts in grouped.items()
     }
+
+
+def _collected(table: DataFrame) -> list:
+    rows = table.limit(MOST_PATTERNS + 1).collect()
+    if len(rows) > MOST_PATTERNS:
+        raise ValueError(f"more than {MOST_PATTERNS} patterns")
+    return rows

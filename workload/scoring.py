@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmill.functions import scoring
+from newsmill.functions import largelexicon, scoring
 from newsmill.functions.lexicon import ENGLISH, SPANISH, by_priority, reweighted
 from newsmill.operators import counters, matching, reports, storage
 from newsmill.plans import processing
@@ -150,6 +150,41 @@ def table_lexicon_scores(spark, folder):
     return out.select(F.col("doc_id").cast("string").alias("doc"), "heat_score", "relevance")
 
 
+# Every run of one to four words of the benchmark texts is a pattern, weighted by its words.  In SQL \b knows ASCII
+# only, so other letters, digits and marks become a digit there, which is a word character of no pattern.
+_RUN_WORDS = 4
+_RUNS_SQL = """worded AS (
+  SELECT regexp_extract_all(lower(text), '[a-z]+') AS w FROM benchmark),
+runs AS (
+  SELECT DISTINCT array_to_string(list_slice(w, i, i + n - 1), ' ') AS run, n
+  FROM (SELECT w, n, unnest(range(1, len(w) - n + 2)) AS i FROM worded, (SELECT unnest(range(1, 5)) AS n))),
+patterns AS (
+  SELECT '\\b' || replace(run, ' ', '\\s+') || '\\b' AS pattern, string_split(run, ' ') AS w, n FROM runs)"""
+
+
+@query("large_lexicon_scores", sql(_RUNS_SQL, """low AS (
+  SELECT doc_id, regexp_replace(lower(text), '[^\\P{L}a-z]|[^\\P{N}0-9]|\\p{M}', '0', 'g') AS t FROM documents),
+found AS (
+  SELECT doc_id, sum(n * len(regexp_extract_all(t, pattern, 0, 'i'))) AS score
+  FROM low JOIN patterns ON contains(t, w[1]) AND contains(t, w[-1]) AND contains(t, w[greatest(len(w) - 1, 1)]) GROUP BY doc_id)""", select=f"""
+SELECT doc_id, heat_score, {RELEVANCE_SQL} AS relevance FROM (
+  SELECT doc_id, CAST(coalesce(score, 0) AS DOUBLE) AS heat_score FROM low LEFT JOIN found USING (doc_id))"""))
+def large_lexicon_scores(spark, folder):
+    """Documents against thousands of patterns, which are written as a table and loaded from there."""
+    words = table(spark, folder, "benchmark").select(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)).alias("w"))
+    runs = words.select("w", F.explode(F.sequence(F.lit(1), F.lit(_RUN_WORDS))).alias("n")).filter("size(w) >= n").select(
+        "n", F.explode(F.expr("transform(sequence(1, size(w) - n + 1), i -> array_join(slice(w, i, n), ' '))")).alias("run"))
+    patterns = runs.distinct().select(
+        F.lit("").alias("language"), F.format_string("words_%d", "n").alias("category"), F.lit(1).alias("priority"),
+        F.col("n").cast("int").alias("weight"), F.col("n").cast("int").alias("pattern_ord"),
+        F.concat(F.lit("\\b"), F.replace("run", F.lit(" "), F.lit("\\s+")), F.lit("\\b")).alias("pattern"))
+    path = fresh_folder(spark, "lexicon")
+    patterns.write.parquet(path)
+    loaded = config.load_lexicons(spark.read.parquet(path))
+    docs = texts(spark, folder, "documents")
+    return largelexicon.score_large(docs, F.col("text"), loaded[""]).select("doc_id", "heat_score", "relevance")
+
+
 @query("word_lexicon_matches", sql(
     lexicon_sql({"": WORD_LEXICON}), _RAW_TEXTS, HITS_SQL,
     select="SELECT url_hash AS doc, keyword, category AS keyword_type, CAST(1 AS INTEGER) AS match_count, weight FROM hits"))
