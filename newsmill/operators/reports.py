@@ -70,12 +70,14 @@ def top_articles(articles: DataFrame, n: int = TOP_ROWS) -> DataFrame:
     )
 
 
+def newest(articles: DataFrame, n: int = TOP_ROWS) -> DataFrame:
+    """The articles stored last with all their columns, so that costly ones can be made for these only."""
+    return articles.orderBy(F.desc("scraped_date"), "url_hash").limit(n)
+
+
 def newest_articles(articles: DataFrame, n: int = TOP_ROWS) -> DataFrame:
     """The articles stored last; ties go by URL hash."""
-    return (
-        articles.select("title", "heat_score", "category", "published_date", "scraped_date", "url_hash")
-        .orderBy(F.desc("scraped_date"), "url_hash").limit(n)
-    )
+    return newest(articles.select("title", "heat_score", "category", "published_date", "scraped_date", "url_hash"), n)
 
 
 def export_rows(articles: DataFrame) -> DataFrame:

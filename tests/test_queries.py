@@ -37,3 +37,14 @@ def test_python_runs_once_per_row(spark, name, calls):
 def test_scans_read_only_what_is_needed(spark, name, column):
     plan = entry_points.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert column in plan and "n_chars" not in plan and "html" not in plan
+
+
+def test_language_counts_read_no_text(spark):
+    plan = entry_points.queries()["language_report"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_extract" not in plan and "text#" not in plan
+
+
+def test_only_the_newest_are_scored(spark):
+    plan = entry_points.queries()["newest_articles"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.rindex("GlobalLimit 10"):]
+    assert "regexp_extract_all" in plan and "regexp_extract_all" not in below

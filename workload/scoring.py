@@ -248,7 +248,8 @@ def source_report(spark, folder):
 SELECT language, CASE WHEN language = 'en' THEN 'English' ELSE 'Spanish' END AS language_name,
        count(*) AS articles FROM scored GROUP BY language"""))
 def language_report(spark, folder):
-    return reports.by_language(stored(spark, folder))
+    """A count needs no scores: no text is read."""
+    return reports.by_language(articles(spark, folder))
 
 
 @query("top_articles", sql(SCORED_SQL, select="""
@@ -261,7 +262,10 @@ def top_articles(spark, folder):
 SELECT title, heat_score, category, CAST(published_date AS VARCHAR) AS published_date, scraped_second, url_hash
 FROM scored ORDER BY scraped_second DESC, url_hash LIMIT 10"""))
 def newest_articles(spark, folder):
-    rows = reports.newest_articles(stored(spark, folder))
+    """The ten newest of all articles are found first, and only they are scored."""
+    newest = reports.newest(articles(spark, folder))
+    done = scoring.score_text(newest, scoring.full_text(F.col("title"), F.col("text")), F.col("language"))
+    rows = reports.newest_articles(done.withColumnRenamed("relevance", "category"))
     return rows.select("title", "heat_score", "category", F.col("published_date").cast("string"),
                        F.unix_seconds("scraped_date").alias("scraped_second"), "url_hash")
 
