@@ -1,5 +1,7 @@
 import random
+import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,3 +48,34 @@ def test_too_large_a_table_is_refused(spark, monkeypatch):
     with pytest.raises(ValueError):
         config.load_lexicons(rows)
     assert config.load_lexicons(rows.filter("pattern < 'd'"))[""].categories[0].patterns == ("a", "b", "c")
+
+
+def test_runs_match_as_their_regexes_do():
+    """Boundaries, shared ends, overlaps, odd white space, folded letters and the mark itself, against `finditer`."""
+    rng = random.Random(5)
+    words = ("heat", "a", "-a", "a-", "x/y", "it's", "s", "stroke", "ñu", "-", "a-a")
+    between = (" ", "  ", "\t \n", "-", " - ", "", "\0", "\x1c", "\xa0")
+    for _ in range(1500):
+        patterns = tuple(
+            rng.choice(("", r"\b")) + r"\s+".join(rng.choice(words) for _ in range(rng.randint(1, 3))) + rng.choice(("", r"\b")) for _ in range(4))
+        text = "".join(rng.choice((*words, "heats", "ſtroke", "é")) + rng.choice(between) for _ in range(rng.randint(0, 14)))
+        wanted = [(i, found) for i, p in enumerate(patterns) if (found := [m.group() for m in re.finditer(p, text, re.IGNORECASE)])]
+        assert largelexicon.Matcher(Lexicon((Category("c", 1, 1, patterns),), ()))(text) == wanted
+
+
+def test_no_regex_is_tried_for_words_that_stand_apart():
+    """A text with every word of a thousand runs, none of them next to each other, costs one walk."""
+    words = [f"word{i}" for i in range(40)]
+    lexicon = Lexicon((Category("c", 1, 1, tuple(rf"\b{a}\s+{b}\b" for a in words for b in words if a != b)),), (r"word1\s+word0",))
+    matcher = largelexicon.Matcher(lexicon)
+    assert not matcher(" - ".join(words)) and matcher.regex.cache_info().currsize == 0
+    assert matcher("word3  word2") == [(3 * 39 + 2, ["word3  word2"])]
+
+
+def test_a_batch_gives_its_hits_by_piece(monkeypatch):
+    monkeypatch.setattr(largelexicon, "PIECE_CHARS", 10)
+    matcher = largelexicon.Matcher(Lexicon((Category("c", 1, 2, (r"\bheat\b",)),), ()))
+    made = list(largelexicon._hits_by_piece(matcher, pa.array(["heat", None, "cold heat heat", "", "x"])))
+    assert [len(piece) for piece in made] == [3, 2]
+    assert [[len(h["keywords"]) for h in row] for piece in made for row in piece.to_pylist()] == [[1], [], [2], [], []]
+    assert [len(piece) for piece in largelexicon._hits_by_piece(matcher, pa.array([], pa.string()))] == [0]
