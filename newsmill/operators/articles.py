@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
@@ -22,6 +23,10 @@ ERROR_MESSAGE = "Failed to extract article"
 PARTS = {"title": pa.string(), "text": pa.string(), "paragraphs": pa.list_(pa.string()), "links": pa.list_(pa.string()), "parse_error": pa.string()}
 
 
+# Pages of about so many bytes are parsed before their parts go back to Spark, however many rows a batch has.
+PIECE_BYTES = 1_000_000
+
+
 def _rows(html: Iterable[str | None], parts: Sequence[str]) -> Iterator[tuple]:
     """The parts of each page; NULLs for a page that is NULL or that the parser rejects, which must cost one page, not the job."""
     for page in html:
@@ -34,6 +39,25 @@ def _rows(html: Iterable[str | None], parts: Sequence[str]) -> Iterator[tuple]:
         yield tuple(found.get(part) for part in parts)
 
 
+def _parsed(html: pa.Array, parts: Sequence[str], fields: Sequence[pa.Field]) -> Iterator[pa.StructArray]:
+    """The parts of a batch of pages in its order, piece by piece: of the batch only one piece is held as Python strings."""
+    for start, stop in _pieces(html):
+        columns = list(zip(*_rows((page.as_py() for page in html[start:stop]), parts), strict=True)) or [()] * len(fields)
+        yield pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], fields=fields)
+
+
+def _pieces(html: pa.Array) -> Iterator[tuple[int, int]]:
+    """Runs of pages of at least PIECE_BYTES, the last one shorter; one empty run for no pages."""
+    start = size = 0
+    for at, length in enumerate(pc.binary_length(html).to_pylist(), 1):
+        size += length or 0
+        if size >= PIECE_BYTES:
+            yield start, at
+            start, size = at, 0
+    if start < len(html) or not len(html):
+        yield start, len(html)
+
+
 def _parser(parts: Sequence[str]):
     """An Arrow function from HTML to a struct of `parts`; Spark neither pushes filters below it nor calls it twice."""
     fields = [pa.field(part, PARTS[part]) for part in parts]
@@ -41,8 +65,7 @@ def _parser(parts: Sequence[str]):
     @F.arrow_udf(from_arrow_schema(pa.schema(fields)))
     def parsed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            columns = list(zip(*_rows(batch.to_pylist(), parts), strict=True)) or [()] * len(fields)
-            yield pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], fields=fields)
+            yield from _parsed(batch, parts, fields)
 
     return parsed.asNondeterministic()
 

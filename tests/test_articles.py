@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,3 +81,16 @@ def test_records(spark):
         parsed, F.lit("en"), F.col("people"), F.col("at").cast("timestamp")).orderBy("url").collect()
     assert (rows[0].authors, rows[0].published_date, rows[0].language) == ("A, B", "2024-07-01", "en")
     assert rows[1].authors is None and rows[1].published_date is None
+
+
+def test_a_large_batch_is_parsed_by_piece(monkeypatch):
+    """What a worker holds as Python strings follows the length of the pages, not the rows of a batch."""
+    monkeypatch.setattr(art, "PIECE_BYTES", 20)
+    fields = [pa.field(part, art.PARTS[part]) for part in ("title", "text", "links")]
+    pages = [f"<title>{i}</title><p>p{i}</p>" if i % 3 else None for i in range(10)]
+    made = list(art._parsed(pa.array(pages), ("title", "text", "links"), fields))
+    assert [len(piece) for piece in made] == [2, 1, 2, 1, 2, 1, 1]
+    assert [row["text"] for piece in made for row in piece.to_pylist()] == [f"p{i}" if i % 3 else None for i in range(10)]
+    assert [len(piece) for piece in art._parsed(pa.array([], pa.string()), ("title", "text", "links"), fields)] == [0]
+    monkeypatch.setattr(art, "PIECE_BYTES", 10**6)
+    assert len(list(art._parsed(pa.array(pages), ("title", "text", "links"), fields))) == 1
