@@ -5,6 +5,7 @@ propose further, overlapping spans of the same kinds: addresses with a spelt `at
 separators. Boosted trees judge a proposal by its format and by the words and characters around it. They learn from the
 base matches and from the same matches in the disguises that the generators look for, against proposals that no base
 match overlaps; for each kind the least threshold that keeps the wanted precision on held-out proposals selects spans.
+All proposals of all texts take part, those with equal features as one row that weighs their number.
 
 Everything is DataFrame functions and Spark ML. Positions come from splitting a text at its matches: the lengths of the
 parts before a match add up to where it starts.
@@ -12,6 +13,8 @@ parts before a match add up to where it starts.
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -47,8 +50,7 @@ HINTS = {
     "phone": r"phone|call|tel\b|mobile|fax|dial|sms|telefon|whatsapp|ruf",
 }
 CONTEXT = 40  # characters before and after a proposal
-TRAINING_ROWS = 20_000  # most proposals of each sort that the trees learn from, chosen by a hash
-TRAINING_PARTS = 4  # the bounded examples lie in few parts, as each level of each tree is a job over all of them
+LEAST_BINS, UNSAMPLED = 32, 10_000  # Spark ML reads all rows for the split points of features up to this number, or the square of the bins
 PRECISION, LEAST_POSITIVE = 0.95, 5
 FEATURES = ("f_kind", "f_length", "f_digits", "f_share", "f_runs", "f_variety", "f_at", "f_marks", "f_hint", "f_letter_before",
             "f_letter_after", "f_quoted", "f_joined", "f_digit_near")
@@ -137,31 +139,43 @@ def mark_overlaps(rows: DataFrame) -> DataFrame:
         ((F.coalesce("behind", F.lit(-1)) <= F.col("start")) & (F.col("ahead").isNull() | (F.col("ahead") >= F.col("stop")))).alias("free"))
 
 
-def train(rows: DataFrame, wide: DataFrame) -> tuple[GBTClassificationModel | None, dict[str, float]]:
-    """Trees and the threshold of each kind; no trees without enough examples of both sides.
-
-    At most TRAINING_ROWS proposals of each sort, chosen by a hash; a fifth of them is held out for the thresholds.
-    """
+def examples_of(rows: DataFrame, wide: DataFrame) -> DataFrame:
+    """kind, label, held_out and features of every example: base matches, the same in disguise, and free proposals."""
     plain = rows.filter("base AND held").select("key", "start", "kind", "match", "before", "after")
     hidden = F.col("match")
     for kind, (what, by) in DISGUISES.items():
         hidden = F.when(F.col("kind") == kind, F.regexp_replace("match", what, by)).otherwise(hidden)
     sorts = [(plain, 1.0), (plain.withColumn("match", hidden), 1.0), (wide.filter("free").select(*plain.columns), 0.0)]
-    chance = F.pmod(F.xxhash64("key", "start", "kind"), F.lit(1_000_000))
-    chosen = None
-    for frame, label in sorts:
-        n = frame.count()
-        some = frame.filter(chance < min(1.0, TRAINING_ROWS / max(1, n)) * 1_000_000).withColumn("label", F.lit(label))
-        chosen = some if chosen is None else chosen.unionByName(some)
-    examples = with_features(chosen).select("kind", "label", F.pmod(F.xxhash64("start", "key"), F.lit(5)).alias("part"), *FEATURES)
-    examples = stored(examples.repartition(TRAINING_PARTS), "examples")
-    counts = {r["label"]: r["n"] for r in examples.filter("part > 0").groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if min(counts.get(0.0, 0), counts.get(1.0, 0)) < LEAST_POSITIVE:
+    labelled = [frame.withColumn("label", F.lit(label)) for frame, label in sorts]
+    held_out = F.pmod(F.xxhash64("start", "key"), F.lit(5)) == 0
+    return with_features(labelled[0].unionByName(labelled[1]).unionByName(labelled[2])).select("kind", "label", held_out.alias("held_out"), *FEATURES)
+
+
+def grouped(examples: DataFrame) -> DataFrame:
+    """Equal examples as one row with their number `n`."""
+    return examples.groupBy(*examples.columns).agg(F.count(F.lit(1)).cast("double").alias("n"))
+
+
+def bins(rows: int) -> int:
+    """So many bins that Spark ML takes the split points from all `rows` rows; with fewer it would draw a sample of them."""
+    return LEAST_BINS if rows <= UNSAMPLED else max(LEAST_BINS, isqrt(rows - 1) + 1)
+
+
+def train(rows: DataFrame, wide: DataFrame) -> tuple[GBTClassificationModel | None, dict[str, float]]:
+    """Trees and the threshold of each kind; no trees without enough examples of both sides.
+
+    A fifth of all proposals, by a hash of the text and the place, is held out for the thresholds; the others teach the trees.
+    """
+    examples = stored(grouped(examples_of(rows, wide)), "examples")
+    sides = examples.groupBy("held_out", "label").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
+    taught = {r["label"]: r for r in sides if not r["held_out"]}
+    if len(taught) < 2 or min(r["n"] for r in taught.values()) < LEAST_POSITIVE:
         return None, {}
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(examples)
-    model = GBTClassifier(maxIter=20, maxDepth=4, seed=7, labelCol="label", featuresCol="features").fit(vectors.filter("part > 0"))
-    judged = model.transform(vectors.filter("part = 0")).select("kind", "label", F.floor(vector_to_array("probability")[1] * 100).alias("level"))
-    table = judged.groupBy("kind", "level").agg(F.sum("label").alias("yes"), F.count(F.lit(1)).alias("n")).collect()  # at most 101 levels a kind
+    trees = GBTClassifier(maxIter=20, maxDepth=4, seed=7, maxBins=bins(sum(r["rows"] for r in taught.values())), labelCol="label", featuresCol="features", weightCol="n")
+    model = trees.fit(vectors.filter("NOT held_out"))
+    judged = model.transform(vectors.filter("held_out")).select("kind", "label", "n", F.floor(vector_to_array("probability")[1] * 100).alias("level"))
+    table = judged.groupBy("kind", "level").agg(F.sum(F.col("label") * F.col("n")).alias("yes"), F.sum("n").alias("n")).collect()  # at most 101 levels a kind
     limits = {}
     for kind in KINDS:
         yes = total = 0

@@ -6,6 +6,7 @@ import corpus_pipeline
 import pytest
 import tokenizers
 from brute import op5, op9
+from pyspark.sql import functions as F
 from test_contracts import EDGES, SMALL, docs_of, edge_dir, ordered  # noqa: F401 - edge_dir is a fixture
 
 from newsmill.llm import candidate_pii, queries, quotation_links, viterbi_counts
@@ -138,3 +139,16 @@ def test_pipeline(spark):
 
 def test_edges_are_what_the_tests_assume():
     assert len(EDGES) > 15
+
+
+def test_personal_data_learns_from_every_proposal(spark):
+    """More base matches than any bound: each teaches or is held out, twice with its disguise; equal ones weigh their number."""
+    texts = spark.range(12_000).select(F.format_string("write to m%d@site.org or m@x%d.net, not to m%d [at] odd [dot] com today", "id", "id", "id").alias("text"))
+    rows = candidate_pii.proposals(texts, "text")
+    rows = rows.withColumn("held", F.col("base") & candidate_pii.holds(F.col("kind"), F.col("match")))
+    examples = candidate_pii.grouped(candidate_pii.examples_of(rows, candidate_pii.mark_overlaps(rows)))
+    found = {r["label"]: (r["n"], r["rows"]) for r in examples.groupBy("label").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows")).collect()}
+    assert found[1.0][0] == 48_000 and found[0.0][0] == 12_000 + 11_990  # the disguised ones, and digits that make no card
+    assert found[1.0][1] < 1_000 and found[0.0][1] < 1_000
+    assert [candidate_pii.bins(n) for n in (5, 10_000, 10_001, 90_000)] == [32, 32, 101, 300]
+    assert all(candidate_pii.bins(n) ** 2 >= n for n in (10_001, 65_537, 10**7 + 1))
