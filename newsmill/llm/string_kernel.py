@@ -6,7 +6,7 @@ sentences are the instances: Spark counts in how many toxic and clean sentences
 toxic ones are positive, frequent and sampled words of clean ones negative. Landmarks among both give each word its
 Nyström features; a linear machine with squared hinge loss learns in that space. As the decision is a weighted sum over
 landmarks, it folds into one weight for each triple, and scoring a word is a sum over its triples. A sentence is as toxic
-as its words: the strongest decisions of a text go through a logistic curve fitted on labelled texts.
+as its words: the strongest decisions of a text go through a logistic curve fitted on all labelled texts.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from newsmill.llm.tables import forget, pieces, stored, with_struct
 DECAY, REACH, SYMBOLS = 0.7, 6, 32
 GAPS = list(combinations(range(1, REACH + 1), 2))  # where the second and the third character of a triple stand
 POSITIVE_WORDS, NEGATIVE_WORDS, LANDMARKS = 1_000, 6_000, 384  # most instances and landmarks that the driver fits on
-LABELLED_TEXTS = 20_000  # most labelled texts for the logistic curve, chosen by a hash of the text
+CURVE_STEPS = 50  # most Newton steps of the logistic curve, each a pass over three numbers a labelled text
 LEAST_SENTENCES, LEAST_ODDS = 3, 12.0  # a toxic word stands in so many toxic sentences, and so much likelier there
 HARD_ROUNDS, HARD_WORDS = 1, 3_000
 CLEAN_WEIGHT = 4.0  # of all negatives together; all positives weigh 0.5: a text has hundreds of clean words
@@ -168,12 +168,21 @@ def fit_machine(positive: list[str], seen: list[int], negative: list[str], steps
     return marks.T.astype(np.float64) @ (root @ w[:-1]), float(w[-1])
 
 
-def fit_curve(rows: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Logistic regression by Newton steps, with a weak pull to zero."""
-    x, w = np.c_[np.ones(len(rows)), rows], np.zeros(rows.shape[1] + 1)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(len(w)), x.T @ (toxic - p) - 0.1 * w)
+def fit_curve(texts: DataFrame) -> np.ndarray:
+    """Logistic regression over `_f` and `toxic` of all rows by Newton steps, with a weak pull to zero; Spark adds up each step."""
+    size = 4
+    x = [F.lit(1.0), *(F.col("_f")[i] for i in range(size - 1))]
+    pairs = [(i, j) for i in range(size) for j in range(i, size)]
+    w = np.zeros(size)
+    for _ in range(CURVE_STEPS):
+        z = sum((F.lit(float(w[i])) * x[i] for i in range(1, size)), F.lit(float(w[0])))
+        p = 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))
+        at = texts.select(*(x[i].alias(f"x{i}") for i in range(size)), (F.col("toxic") - p).alias("off"), (p * (1 - p)).alias("v"))
+        sums = at.agg(*(F.sum(F.col("v") * F.col(f"x{i}") * F.col(f"x{j}")) for i, j in pairs), *(F.sum(F.col("off") * F.col(f"x{i}")) for i in range(size))).first()
+        curved = np.zeros((size, size))
+        for (i, j), value in zip(pairs, sums, strict=False):
+            curved[i, j] = curved[j, i] = value
+        step = np.linalg.solve(curved + 0.1 * np.eye(size), np.array(sums[len(pairs):], float) - 0.1 * w)
         w = w + step
         if np.abs(step).max() < 1e-8:
             break
@@ -189,8 +198,8 @@ def with_labels(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", t
 def train(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Model:
     """Fits on labelled texts. Rows without a text or without a label of 0 or 1 don't count.
 
-    Word counts cover all sentences of all labelled texts; what reaches the driver is bounded: the heaviest
-    POSITIVE_WORDS toxic words, NEGATIVE_WORDS others, and the features of LABELLED_TEXTS texts. Without toxic or
+    Word counts cover all sentences of all labelled texts, and so does the curve, whose sums Spark adds up; what reaches
+    the driver is bounded: the heaviest POSITIVE_WORDS toxic words and NEGATIVE_WORDS others. Without toxic or
     without clean examples the model knows nothing and scores every text alike, at the share of toxic ones.
     """
     rows = labelled.filter(F.col(label).isin(0, 1) & F.col(f"`{text}`").isNotNull()).select(
@@ -218,11 +227,9 @@ def train(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Mode
         negative = list(dict.fromkeys(negative + [r["word"] for r in hard]))
         model = Model(*fit_machine(positive, seen, negative), np.zeros(4))
     forget(tally)
-    total = rows.count()
-    sample = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < min(1.0, LABELLED_TEXTS / max(1, total)) * 1_000_000)
-    texts = with_features(sample, model).select("toxic", "_f").limit(2 * LABELLED_TEXTS).collect()
-    if texts:
-        model.curve = fit_curve(np.array([list(r["_f"]) for r in texts]), np.array([r["toxic"] for r in texts], float))
+    texts = stored(with_features(rows, model).select("toxic", "_f"), "curve-texts")
+    model.curve = fit_curve(texts)
+    forget(texts)
     return model
 
 

@@ -3,13 +3,14 @@
 from collections import Counter
 
 import corpus_pipeline
+import numpy as np
 import pytest
 import tokenizers
 from brute import op5, op9
 from pyspark.sql import functions as F
 from test_contracts import EDGES, SMALL, docs_of, edge_dir, ordered  # noqa: F401 - edge_dir is a fixture
 
-from newsmill.llm import candidate_pii, queries, quotation_links, viterbi_counts
+from newsmill.llm import candidate_pii, queries, quotation_links, string_kernel, viterbi_counts
 
 
 def unigram():
@@ -152,3 +153,14 @@ def test_personal_data_learns_from_every_proposal(spark):
     assert found[1.0][1] < 1_000 and found[0.0][1] < 1_000
     assert [candidate_pii.bins(n) for n in (5, 10_000, 10_001, 90_000)] == [32, 32, 101, 300]
     assert all(candidate_pii.bins(n) ** 2 >= n for n in (10_001, 65_537, 10**7 + 1))
+
+
+def test_toxicity_curve_is_fitted_on_every_labelled_text(spark):
+    ids = spark.range(24_000)
+    word = F.element_at(F.array(*map(F.lit, ("garden", "window", "market", "letter", "idiot"))), (F.pmod(F.xxhash64("id"), F.lit(5)) + 1).cast("int"))
+    texts = ids.select(F.format_string("%s number %d here", word, F.col("id")).alias("text"), ((word == "idiot") != (F.col("id") % 50 == 0)).cast("int").alias("toxic"))
+    model = string_kernel.train(texts)
+    rows = string_kernel.with_features(texts, model).select("toxic", "_f").collect()
+    x, y = np.array([[1.0, *r["_f"]] for r in rows]), np.array([r["toxic"] for r in rows], float)
+    p = 1 / (1 + np.exp(-np.clip(x @ model.curve, -30, 30)))
+    assert len(rows) == 24_000 and np.abs(x.T @ (y - p) - 0.1 * model.curve).max() < 1e-4  # the optimum over all of them
