@@ -1,9 +1,10 @@
 """A stored index of words for phrase search, so that new search terms don't read the texts again.
 
 One posting for each word of each text: the word, its place, and the following word with what joins the two.  Postings lie in
-one folder for each batch and publication month, range-sorted by word, so a search reads the months it asks for and, by the
-statistics of the files, little beyond the words it asks for; a frequent word is spread over as many files as it needs.  A
-phrase of two words is one filter of the scan; a longer one is covered by pairs, whose places are then intersected.
+one folder for each batch and publication month.  Each file holds all words of some texts, sorted by word, so a search reads the
+months it asks for and, by the statistics of the pages of a file, little beyond the words it asks for.  The texts are what is
+dealt to tasks, a few million words to each: postings, which are many times larger, are made, sorted and written in one task,
+and a frequent word is spread over all files.  A phrase of two words is one filter of the scan; a longer one is covered by pairs, whose places are then intersected.
 
 Words are runs of word characters of the lower-cased text, the folded twins of s and i taken as these letters; words of a
 phrase are joined by white space, or by one of - ' / where the phrase has it.  So the index finds what
@@ -29,12 +30,14 @@ from newsmill.sources.segments import BATCH
 
 MONTH = "month"
 SPACE, JOINTS = " ", "-'/"
+_BITS = 62  # phrases to a column of bits
 POSTINGS = T.StructType([
     T.StructField("word", T.StringType()), T.StructField("next", T.StringType()), T.StructField("article", T.BinaryType()),
     T.StructField("place", T.IntegerType()), T.StructField("published_date", T.DateType())])
 ARTICLES = T.StructType([
     T.StructField("article", T.BinaryType()), T.StructField("url", T.StringType()), T.StructField("published_date", T.DateType())])
 TABLES = {"postings": POSTINGS, "articles": ARTICLES}
+PART_CHARS, LEAST_CHARS = 16_000_000, 1_000_000  # text whose postings one task sorts, some 400 MB; text worth a task of its own
 _PARTITIONS = [T.StructField(BATCH, T.StringType()), T.StructField(MONTH, T.StringType())]
 
 
@@ -74,36 +77,51 @@ _WORD = r"(?U)\w+"
 _TIED = r"(?U)\w++(?:([\s\x1c-\x1f]++|[-'/])(?=\w)|\W*+)"
 
 
+def _bodies(articles: DataFrame, text: Column) -> DataFrame:
+    bodies = articles.select("url", "published_date", text.alias("_body"))
+    return bodies.select(_article().alias("article"), "url", "published_date", _month().alias(MONTH), "_body")
+
+
 def postings(articles: DataFrame, text: Column) -> DataFrame:
     """Postings of articles (url, published_date); `article` tells texts and URLs apart by 128 bits.
 
     Two regex passes over a text, none over its words.  Articles without text or words have none; equal rows give equal postings.
     """
+    return _postings(_bodies(articles, text)).drop(MONTH)
+
+
+def _postings(bodies: DataFrame) -> DataFrame:
     folded = F.translate(F.lower("_body"), "".join(FOLDED_TWINS.values()), "".join(FOLDED_TWINS))
-    bodies = articles.select("url", "published_date", text.alias("_body"))
-    texts = bodies.select(_article().alias("article"), "published_date", F.explode(F.array(folded)).alias("_text"))
-    words = texts.select("article", "published_date", F.explode(F.array(F.struct(
+    carried = "article", "published_date", MONTH
+    texts = bodies.select(*carried, F.explode(F.array(folded)).alias("_text"))
+    words = texts.select(*carried, F.explode(F.array(F.struct(
         F.regexp_extract_all("_text", F.lit(_WORD), F.lit(0)).alias("words"),
         F.regexp_extract_all("_text", F.lit(_TIED), F.lit(1)).alias("ties")))).alias("_in"))
-    placed = words.select("article", "published_date", F.posexplode(F.arrays_zip(
+    placed = words.select(*carried, F.posexplode(F.arrays_zip(
         F.col("_in.words").alias("word"), F.slice("_in.words", 2, F.greatest(F.size("_in.words"), F.lit(0))).alias("after"),
         F.col("_in.ties").alias("tie"))).alias("place", "_at"))
     tie = F.col("_at.tie")
     following = F.when(tie != "", F.concat(F.when(tie.isin(list(JOINTS)), tie).otherwise(SPACE), F.col("_at.after")))
-    return placed.select("_at.word", following.alias("next"), "article", "place", "published_date")
+    return placed.select("_at.word", following.alias("next"), "article", "place", "published_date", MONTH)
 
 
 def _month() -> Column:
     return F.date_format("published_date", "yyyy-MM")
 
 
+def _parts(bodies: DataFrame) -> int:
+    """Tasks for texts: so many that the postings of one fit its memory, and for short work no more than there are cores."""
+    size = bodies.agg(F.sum(F.length("_body"))).first()[0] or 0
+    return max(1, -(-size // PART_CHARS), min(bodies.sparkSession.sparkContext.defaultParallelism, size // LEAST_CHARS))
+
+
 def write_index(articles: DataFrame, text: Column, root: str, batch_id: int | str) -> None:
     """Indexes one batch of articles (url, published_date); writing it again replaces it."""
+    bodies = _bodies(articles, text)
+    dealt = bodies.drop("url").repartitionByRange(_parts(bodies), MONTH, "article")
     rows = {
-        "postings": postings(articles, text).withColumn(MONTH, _month())
-        .repartitionByRange(MONTH, "word", "article").sortWithinPartitions(MONTH, "word", "article"),
-        "articles": articles.withColumn("_body", text).select(_article().alias("article"), "url", "published_date", _month().alias(MONTH))
-        .repartitionByRange(MONTH, "article").sortWithinPartitions(MONTH, "article"),
+        "postings": _postings(dealt).sortWithinPartitions(MONTH, "word"),
+        "articles": bodies.drop("_body").repartitionByRange(MONTH, "article").sortWithinPartitions(MONTH, "article"),
     }
     for name, table in rows.items():
         table.write.mode("overwrite").partitionBy(MONTH).parquet(f"{_path(root, name)}/{BATCH}={batch_id}")
@@ -151,10 +169,19 @@ def first_terms(
     phrases = sorted({p for t in terms for p in t.phrases})
     number = {p: i for i, p in enumerate(phrases)}
     held = phrase_hits(read_index(spark, root, "postings", start, end), phrases)
-    by_article = held.groupBy("article").agg(F.collect_set("phrase").alias("_held"))  # of the phrases asked for
-    tests = [
-        F.when(F.size(F.array_intersect("_held", F.array(*[F.lit(number[p]) for p in t.phrases]))) == len(set(t.phrases)), F.lit(i))
-        for i, t in enumerate(terms)]
+    # The phrases of an article as bits, so that they are merged before they are shuffled.
+    chunks = range(0, max(1, len(phrases)), _BITS)
+    bits = [F.expr(f"bit_or(CASE WHEN phrase BETWEEN {c} AND {c + _BITS - 1} THEN shiftleft(1L, phrase - {c}) ELSE 0L END)").alias(f"_held{c}") for c in chunks]
+    by_article = held.groupBy("article").agg(*bits)
+
+    def holds(asked: set[int]) -> Column:
+        test = F.lit(True)
+        for c in chunks:
+            mask = sum(1 << (n - c) for n in asked if c <= n < c + _BITS)
+            test = test & (F.col(f"_held{c}").bitwiseAND(F.lit(mask).cast("long")) == mask)
+        return test
+
+    tests = [F.when(holds({number[p] for p in t.phrases}), F.lit(i)) for i, t in enumerate(terms)]
     first = by_article.select("article", F.coalesce(*tests, F.lit(None).cast("int")).alias("term_ord")).filter("term_ord IS NOT NULL")
     named = read_index(spark, root, "articles", start, end).select("article", "url")
     return named.join(first, "article").groupBy("url").agg(F.min("term_ord").alias("term_ord"))

@@ -91,3 +91,25 @@ def test_search_reads_its_words_and_no_text(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "body_text" not in plan and "month" in plan[plan.index("PartitionFilters"):]
     assert "In(word" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_texts_are_dealt_and_postings_stay_in_their_task(spark, tmp_path, monkeypatch):
+    """Text decides the number of tasks; files hold whole articles, sorted by word, and more phrases than one number has bits are told apart."""
+    monkeypatch.setattr(phraseindex, "PART_CHARS", 2_000)
+    rows = made(spark, 300, 2)
+    dealt = phraseindex._bodies(rows, F.col("text"))
+    tasks = phraseindex._parts(dealt)
+    assert tasks == -(-dealt.agg(F.sum(F.length("_body"))).first()[0] // 2_000) > 4
+    phraseindex.write_index(rows, F.col("text"), str(tmp_path), 0)
+    stored = phraseindex.read_index(spark, str(tmp_path), "postings").select("article", "word", F.input_file_name().alias("file"), F.col("_metadata.row_index").alias("at"))
+    held = stored.collect()
+    files = {}
+    for r in held:
+        files.setdefault(r.file, []).append((r.at, r.word))
+    assert len(files) > 4 and all([w for _, w in sorted(own)] == sorted(w for _, w in own) for own in files.values())
+    assert len({(bytes(r.article), r.file) for r in held}) <= len({bytes(r.article) for r in held}) * 3  # a URL and text may recur in up to three months
+    expected = phraseindex.postings(rows, F.col("text"))
+    assert sorted(map(str, phraseindex.read_index(spark, str(tmp_path), "postings").select(*expected.columns).collect())) == sorted(map(str, expected.collect()))
+    many = tuple(SearchTerm(1, "c", str(i), ("heat", f"none{i}") if i < 70 else ("heat wave", "of")) for i in range(72))
+    got = listed(phraseindex.first_terms(spark, str(tmp_path), many))
+    assert got == listed(find.first_terms(rows, F.col("text"), many)) and got
