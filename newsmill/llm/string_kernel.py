@@ -31,7 +31,8 @@ CURVE_STEPS = 50  # most Newton steps of the logistic curve, each a pass over th
 LEAST_SENTENCES, LEAST_ODDS = 3, 12.0  # a toxic word stands in so many toxic sentences, and so much likelier there
 HARD_ROUNDS, HARD_WORDS = 1, 3_000
 CLEAN_WEIGHT = 4.0  # of all negatives together; all positives weigh 0.5: a text has hundreds of clean words
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 200_000  # decisions that a worker remembers
+RUN_BYTES, RUN_SYMBOLS = 500_000, 20_000  # of text split into words at a time, of words split into triples at a time
 SEPARATED = re.compile(r"(?<!\S)(?:\S[ \t]){2,}\S(?!\S)")  # l e t t e r s set apart
 EDGES = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~¡¿«»“”„…"
 FOLDED = str.maketrans("àáâãäåæçèéêëìíîïñòóôõöøùúûüýÿßœ", "aaaaaaaceeeeiiiinoooooouuuuyyso")
@@ -84,10 +85,12 @@ class Model:
     curve: np.ndarray
 
     def decisions(self, words: list[str]) -> np.ndarray:
-        if not words:
-            return np.zeros(0)
-        which, triple, weight = triples(words)
-        return np.bincount(which, weight * self.weights[triple], len(words)) + self.offset
+        """A run of words at a time: a word has some 15 triples for each of its characters."""
+        found = []
+        for run in pieces(words, RUN_SYMBOLS):
+            which, triple, weight = triples(run)
+            found.append(np.bincount(which, weight * self.weights[triple], len(run)) + self.offset)
+        return np.concatenate(found) if found else np.zeros(0)
 
     def probability(self, features: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(features @ self.curve[1:] + self.curve[0], -30, 30)))
@@ -109,9 +112,7 @@ def features_of(texts: list[str], model: Model, known: dict[str, float]) -> np.n
     if len(known) + len(new) > KNOWN_WORDS:
         known.clear()
         new = list(set().union(*split))
-    for i in range(0, len(new), 50_000):
-        some = new[i:i + 50_000]
-        known.update(zip(some, model.decisions(some).tolist(), strict=True))
+    known.update(zip(new, model.decisions(new).tolist(), strict=True))
     rows = np.zeros((len(texts), 3))
     for row, words in zip(rows, split, strict=True):
         values = np.array([known[w] for w in words] or [-2.0])
@@ -119,6 +120,11 @@ def features_of(texts: list[str], model: Model, known: dict[str, float]) -> np.n
     return rows
 
 
+def runs_of_texts(batch: pa.Array) -> Iterator[list[str]]:
+    """The texts of a batch; they become Python strings run by run."""
+    return pieces((t.as_py() or "" for t in batch), RUN_BYTES)
+
+
 def sentence_counts(labelled: DataFrame, text: str, label: str) -> DataFrame:
     """(word, toxic, clean): how many toxic and clean sentences hold each word; EVERY_SENTENCE stands in all of them.
 
@@ -251,7 +257,7 @@ def with_features(texts: DataFrame, model: Model, text: str = "text") -> DataFra
     def made(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known: dict[str, float] = {}
         for batch in batches:
-            rows = [row for run in pieces([t or "" for t in batch.to_pylist()]) for row in features_of(run, shared.value, known).tolist()]
+            rows = [row for run in runs_of_texts(batch) for row in features_of(run, shared.value, known).tolist()]
             yield pa.array(rows, pa.list_(pa.float64()))
 
     return texts.withColumn("_f", made.asNondeterministic()(F.col(f"`{text}`")))
@@ -268,7 +274,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known: dict[str, float] = {}
         for batch in batches:
-            rows = [features_of(run, shared.value, known) for run in pieces([t or "" for t in batch.to_pylist()])]
+            rows = [features_of(run, shared.value, known) for run in runs_of_texts(batch)]
             p = shared.value.probability(np.vstack(rows)) if rows else np.zeros(0)
             yield pa.StructArray.from_arrays([pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32), pa.int32())], ["score", "predicted"])
 
